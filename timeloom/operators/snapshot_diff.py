@@ -27,12 +27,13 @@ def value_hash(*values: Column) -> Column:
     return F.md5(F.concat_ws("\x01", *(F.coalesce(v, F.lit("\x00")) for v in values)))
 
 
-def snapshot_index(rows: DataFrame, entity: Column, snapshot: Column, key: Column, row_id: Column, digest: Column) -> DataFrame:
+def snapshot_index(rows: DataFrame, entity: Column, snapshot: Column, key: Column, row_id: Column, digest: Column, label: Column | None = None) -> DataFrame:
     """(entity, snapshot, key, row_id, digest): one row per entry of a snapshot; copies are reduced before the shuffle.
-    A null entity becomes the string of one zero character."""
+    A null entity becomes the string of one zero character. ``label``: what ``key`` is made from and null with; given,
+    the key itself need not be computed to find the snapshot times."""
     whose = F.coalesce(entity.cast("string"), F.lit("\x00"))
+    rows = rows.filter(snapshot.isNotNull() & (key if label is None else label).isNotNull())
     narrow = rows.select(whose.alias("entity"), snapshot.alias("snapshot"), key.alias("key"), row_id.alias("row_id"), digest.alias("digest"))
-    narrow = narrow.filter("snapshot is not null and key is not null")
     return narrow.groupBy("entity", "snapshot", "key").agg(F.min(F.struct("row_id", "digest")).alias("m")).select("entity", "snapshot", "key", "m.*")
 
 

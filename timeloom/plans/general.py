@@ -28,7 +28,7 @@ def entry_digest() -> Column:
 
 def inventory_index(rows: DataFrame) -> DataFrame:
     key = normalise_label(F.col("label"), underscore_breaks=True)
-    return snapshot_diff.snapshot_index(rows, F.col("project"), F.col("exported_at"), key, F.col("row_id"), entry_digest())
+    return snapshot_diff.snapshot_index(rows, F.col("project"), F.col("exported_at"), key, F.col("row_id"), entry_digest(), F.col("label"))
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
