@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from timeloom.plans import general
+from timeloom.plans import general, matching, review, signals, timeline
 
-MODULES = (general,)
+MODULES = (timeline, matching, signals, review, general)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
