@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from timeloom.plans import general, matching, review, signals, timeline
+from timeloom.plans import frames, general, matching, review, signals, timeline
 
-MODULES = (timeline, matching, signals, review, general)
+MODULES = (timeline, matching, signals, review, frames, general)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
