@@ -123,7 +123,9 @@ def markdown_table(rows: DataFrame, columns: dict[str, Column], *order: str) ->
     top = rows.sparkSession.createDataFrame([(i - 2, h) for i, h in enumerate(head)], "n long, value string")
     from timeloom.operators.numbering import numbered
 
-    body = numbered(rows.select(*order, line.alias("value")), *order, "value", name="n").select("n", "value")
+    keys = [f"_o{i}" for i in range(len(order))]
+    keyed = rows.select(*(F.col(c).alias(k) for c, k in zip(order, keys, strict=True)), line.alias("value"))
+    body = numbered(keyed, *keys, "value", name="n").select("n", "value")
     return top.unionByName(body).orderBy("n").select("value")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -14,7 +14,7 @@ class Slice(InputPartition):
 
 
 class GridReader(DataSourceReader):
-    def __init__(self, options: dict[str, str]) -> None:
+    def __init__(self, options: Mapping[str, str]) -> None:
         self.slug = options.get("slug", "")
         self.fps = float(options.get("fps", "1"))
         duration = float(options["duration_s"])
@@ -44,7 +44,7 @@ class GridSource(DataSource):
         return "slug string, idx bigint, frame_id string, t_ms bigint"
 
     def reader(self, schema) -> GridReader:
-        return GridReader(dict(self.options))
+        return GridReader(self.options)  # case does not count in its keys
 
 
 def register(spark: SparkSession) -> None:
