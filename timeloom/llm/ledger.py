@@ -26,7 +26,8 @@ IDENTITY_FIELDS = "record string, module string, tabs array<string>, section str
 
 def bare(value: Column) -> Column:
     """Letters and digits of a text in one case; null as a sign of its own."""
-    return F.coalesce(F.regexp_replace(F.lower(F.upper(value)), r"[^\p{L}\p{N}]+", ""), F.lit(NULL))
+    lower = F.translate(F.replace(F.lower(value), F.lit("ß"), F.lit("ss")), "ς", "σ")
+    return F.coalesce(F.regexp_replace(lower, r"[^\p{L}\p{N}]+", ""), F.lit(NULL))
 
 
 def canonical_key(*fields: Column) -> Column:

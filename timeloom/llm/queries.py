@@ -117,7 +117,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def _bare(column: str) -> str:
-    return f"regexp_replace(lower(upper({column})), '[^\\p{{L}}\\p{{N}}]+', '', 'g')"
+    return f"regexp_replace(replace(lower({column}), 'ß', 'ss'), '[^\\p{{L}}\\p{{N}}]+', '', 'g')"
 
 
 _NEAREST = f"""
