@@ -27,10 +27,11 @@ _SAME = str.maketrans(CYRILLIC + GREEK, CYRILLIC_AS + GREEK_AS)
 _WORD = re.compile(r"[^\W_]+")
 _CLOSE = {frozenset(p) for p in CONFUSED.split()}
 _VOWELS = re.compile(r"(?<=.)[aeiou]")
-# How the surroundings of a name look: a number of four or more digits behind a sign, with or without
-# a word before it.
+# How the surroundings of a name look: a number of four or more digits at its end, with signs around it,
+# and a sign and a word before it.
 _CUT = re.compile(r"(\.\.+|…)[\s\W_]*$")
-_AROUND = re.compile(r"\s*(?:[—|:(–-]\s*[^\W\d_]+|[\[<#(|—:])[\s\W_]*\d{4,}[\s\W_]*$")
+_NUMBER = re.compile(r"[\s\[<(#|—:]*\d{4,}[\s\W_]*$")
+_WORD_BEFORE = re.compile(r"\s*(?:[—|:(]|\s[–-])\s*[^\W_]+[\s\W_]*$")
 
 
 def fold(text: str) -> str:
@@ -83,6 +84,12 @@ def misreading(a: str, b: str, most: int) -> int:
     return min(row[-1], most + 1)
 
 
+def beginning(a: str, whole: str, most: int) -> int | None:
+    """Least distance of ``a`` to a beginning of ``whole``, or None above ``most``."""
+    found = min((misreading(a, whole[:n], most) for n in range(len(a) - 1, min(len(a) + 2, len(whole)))), default=most + 1)
+    return found if found <= most else None
+
+
 def allowed(length: int) -> int:
     """Half edits allowed in a word of this length."""
     return 0 if length < 3 else 2 if length < 5 else 3 if length < 6 else 4 if length < 8 else 5 if length < 10 else 6
@@ -196,7 +203,7 @@ class ReferenceList:
                 self.exact.setdefault("".join(spoken), entry)
                 if _is_code(spoken):
                     continue
-                self.whole.add("".join(spoken), entry)
+                self.whole.add("".join(spoken), (entry, len(spoken)))
                 for turn in range(len(spoken)):
                     node = self.phrases
                     for w in spoken[turn:] + spoken[:turn]:
@@ -208,84 +215,96 @@ class ReferenceList:
             self.words.add(w, (w, 0))
             for short in abbreviations(w):
                 self.words.add(short, (w, 2))
-        self._candidates: dict[str, dict[str, int]] = {}
+        self._candidates: dict[tuple[str, bool], dict[str, int]] = {}
         self._found: dict[tuple[str, ...] | str, tuple[int, int] | None] = {}
 
-    def candidates(self, word: str) -> dict[str, int]:
-        """Reference words that ``word`` may be, each with its cost."""
+    def candidates(self, word: str, hard: bool = False) -> dict[str, int]:
+        """Reference words that ``word`` may be, each with its cost; ``hard`` allows more misreadings of longer words."""
         if word.isdigit():
             return {word: 0}
-        if word in self._candidates:
-            return self._candidates[word]
+        key = (word, hard)
+        if key in self._candidates:
+            return self._candidates[key]
         plain = as_letters(word)
-        found: dict[str, int] = {}
-        for text, extra in ((plain, 0), (one_for_pair(plain), 1)):
-            if extra and text == plain and not any(p in plain for p in "mdw"):
-                continue
-            most = allowed(len(text) + (3 < len(text) < 8))
-            for d, path, values in self.words.within(text, most):
-                for w, shortened in values:
-                    if d <= (allowed(len(path)) if not shortened else min(2, allowed(len(path)))):
-                        cost = d + extra + shortened
-                        found[w] = min(cost, found.get(w, cost))
-        if len(plain) > 3:
-            for w in self.known:  # cut at the end: longer than an abbreviation
-                if w not in found and w.startswith(plain):
+        found = {plain: 0} if plain in self.known else self._misread(plain, hard)
+        for w in self.known:
+            if w not in found and len(w) > len(plain) > 3:
+                if w.startswith(plain):  # cut at the end: longer than an abbreviation
                     found[w] = 2
-        if len(plain) > 5:
-            for w in self.known:
-                if w not in found and len(w) > len(plain) and 0 <= (d := word_distance(plain, w[: len(plain)])) <= 3:
+                elif len(plain) > 4 and (d := beginning(plain, w, 2 if len(plain) < 6 else 3)) is not None:
                     found[w] = 2 + d
         if len(self._candidates) > 200_000:
             self._candidates.clear()
-        self._candidates[word] = found
+        self._candidates[key] = found
         return found
 
-    def _walk(self, words: tuple[str, ...]) -> dict[int, int]:
-        """Entries reachable by ``words``, each with its least cost."""
-        states = [(self.phrases, 0)]
-        for w in words:
+    def _misread(self, plain: str, hard: bool) -> dict[str, int]:
+        """Words and abbreviations near ``plain``; words clearly farther than the nearest are left out."""
+        limit = (lambda n: 6 if n > 7 else 4 if n == 5 else allowed(n)) if hard else allowed
+        full: dict[str, int] = {}
+        short: dict[str, int] = {}
+        for text, extra in ((plain, 0), (one_for_pair(plain), 1)):
+            if extra and text == plain and not any(p in plain for p in "mdw"):
+                continue
+            for d, path, values in self.words.within(text, limit(len(text) + 2)):
+                for w, shortened in values:
+                    if d <= (min(2, allowed(len(path))) if shortened else limit(len(path))):
+                        into = short if shortened else full
+                        into[w] = min(d + extra + shortened, into.get(w, 99))
+        nearest = min(full.values(), default=0)
+        return short | {w: min(d, short.get(w, 99)) for w, d in full.items() if d <= nearest + 2}
+
+    def _walk(self, words: tuple[str, ...], hard: bool = False) -> dict[int, int]:
+        """Entries reachable by ``words``, each with its least cost. The last word may be cut anywhere; ``hard``: one word
+        may be misread badly; at last a short word may be missing at the end."""
+        states = [(self.phrases, 0, False)]
+        for i, w in enumerate(words):
             options = self.candidates(w)
-            states = [(node[o], cost + c) for node, cost in states for o, c in options.items() if o in node]
+            following = [(node[o], cost + c, used) for node, cost, used in states for o, c in options.items() if o in node]
+            if hard:
+                more = self.candidates(w, True)
+                following += [(node[o], cost + c, True) for node, cost, used in states if not used for o, c in more.items() if o in node and o not in options]
+            if i == len(words) - 1 and i and w.isalpha():
+                following += [(child, cost + 3, used) for node, cost, used in states for o, child in node.items() if o and o not in options and o.startswith(w)]
+            states = following
             if not states:
                 return {}
+        ends = [(node, cost) for node, cost, _ in states]
+        if hard and not any("" in node for node, _ in ends):
+            ends = [(child, cost + 4) for node, cost in ends for o, child in node.items() if o and len(o) <= 3 and not o.isdigit()]
         found: dict[int, int] = {}
-        for node, cost in states:
+        for node, cost in ends:
             for turned, entry in node.get("", ()):
                 c = 2 * cost + turned
                 found[entry] = min(c, found.get(entry, c))
         return found
 
     def _joined(self, words: tuple[str, ...]) -> dict[int, int]:
-        """Entries near the words written as one, with the same numbers in them."""
+        """Entries near the words written as one, with the same numbers in them, but divided otherwise."""
         text = "".join(map(as_letters, words))
         most = min(4, len(text) // 6 * 2)
         numbers = re.findall(r"\d+", text)
         found: dict[int, int] = {}
         for d, path, values in self.whole.within(text, most):
             if re.findall(r"\d+", path) == numbers:
-                for entry in values:
-                    found[entry] = min(2 * d, found.get(entry, 2 * d))
+                for entry, n in values:
+                    if n != len(words):  # else the words themselves are not near enough
+                        found[entry] = min(2 * d, found.get(entry, 2 * d))
         return found
 
     def find(self, name: str) -> list[tuple[int, int]]:
         """(cost, entry) of all entries within reach of ``name``, nearest first; empty where it stands for none."""
         tried = [name]
-        if (bare := _AROUND.sub("", name)) != name:
-            tried.append(bare)
-        for text in tried:
-            spoken = words_of(text)
-            if not spoken:
-                continue
-            if (said := self.exact.get("".join(spoken))) is not None:
+        if (bare := _NUMBER.sub("", name)) != name:
+            tried += [bare, _WORD_BEFORE.sub("", bare)]
+        spoken = [w for text in dict.fromkeys(tried) if (w := words_of(text))]
+        for words in spoken:
+            if (said := self.exact.get("".join(words))) is not None:
                 return [(0, said)]
-            if _is_code(spoken):
-                continue
-            for form in dict.fromkeys((spoken, split_digits(spoken))):
-                if found := self._walk(form):
-                    return sorted((c, e) for e, c in found.items())
-            for form in dict.fromkeys((spoken, split_digits(spoken))):
-                if found := self._joined(form):
+        forms = [f for words in spoken if not _is_code(words) for f in dict.fromkeys((words, split_digits(words)))]
+        for search in (self._walk, self._joined, lambda f: self._walk(f, True)):
+            for form in forms:
+                if found := search(form):
                     return sorted((c, e) for e, c in found.items())
         return self._begun(words_of(name)) if _CUT.search(name) else []
 
@@ -300,14 +319,14 @@ class ReferenceList:
         while stack and len(found) < 2:
             for c, child in stack.pop().items():
                 if c == "":
-                    found.update(child)
+                    found.update(entry for entry, _ in child)
                 else:
                     stack.append(child)
         return [(12, e) for e in found] if len(found) == 1 else []
 
     def best(self, name: str) -> tuple[int, int] | None:
         """(cost, entry) of the nearest entry, the smallest of equally near ones, or None."""
-        key = words_of(name) if not _AROUND.search(name) and not _CUT.search(name) else name
+        key = words_of(name) if not _NUMBER.search(name) and not _CUT.search(name) else name
         if key not in self._found:
             if len(self._found) > 200_000:
                 self._found.clear()
