@@ -3,9 +3,9 @@
 The index of a snapshot has one narrow row per entry: its key, a 128-bit hash of the values that count and the
 smallest row id among its copies. Two uses:
 
-* :func:`diff_history` runs the whole history of all entities at once. The index rows of a key are brought together
-  (one key has one row per snapshot, so no group is hot); each row probes the one stored for the snapshot before and
-  then takes its place.
+* :func:`diff_history` runs the whole history of all entities at once. Index rows are hashed into buckets by (entity,
+  key), so that a hot entity is spread over all buckets; a task reads its bucket snapshot by snapshot, probes the index
+  of the last one with the rows of the next, and swaps. It holds one entity's share of two snapshots at a time.
 * :class:`SnapshotIndex` keeps the index of the last snapshot in a bucketed table between deliveries: ``probe`` joins
   a new delivery with the buckets it touches, ``swap`` puts its index in place of the old one.
 
@@ -18,9 +18,16 @@ empty table gives none; columns other than those named are ignored whatever they
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from timeloom.session import shuffle_partitions
+
+CHANGES = "entity string, key string, change string, row_id bigint, old_row_id bigint, new_row_id bigint"
+
 
 def value_hash(*values: Column) -> Column:
     """128-bit hash of string values; null differs from every string."""
@@ -43,21 +50,57 @@ def diff_history(index: DataFrame) -> DataFrame:
     times = index.select("entity", "snapshot").distinct().select("entity", "snapshot", F.row_number().over(order).alias("gen"))
     times = times.withColumn("final", F.lead("gen").over(order).isNull())
     at = index.join(times, ["entity", "snapshot"]).drop("snapshot")
-    run = Window.partitionBy("entity", "key").orderBy("gen")
-    seen = at.select(
-        "entity", "key", "row_id", "digest", "gen", "final",
-        F.lag(F.struct("gen", "digest", "row_id")).over(run).alias("old"), F.lead("gen").over(run).alias("next_gen"),
-    )
-    stored = F.col("old.gen") == F.col("gen") - 1
-    arrival = (
-        F.when((F.col("gen") > 1) & ~F.coalesce(stored, F.lit(False)), F.struct(F.lit("added").alias("change"), F.col("row_id"), F.lit(None).cast("bigint").alias("old_row_id"), F.col("row_id").alias("new_row_id")))
-        .when(stored & (F.col("old.digest") != F.col("digest")), F.struct(F.lit("changed").alias("change"), F.col("row_id"), F.col("old.row_id").alias("old_row_id"), F.col("row_id").alias("new_row_id")))
-    )
-    leaving = F.when(
-        ~F.col("final") & ~F.coalesce(F.col("next_gen") == F.col("gen") + 1, F.lit(False)),
-        F.struct(F.lit("removed").alias("change"), F.col("row_id"), F.col("row_id").alias("old_row_id"), F.lit(None).cast("bigint").alias("new_row_id")),
-    )
-    return seen.select("entity", "key", F.explode(F.array_compact(F.array(arrival, leaving))).alias("c")).select("entity", "key", "c.*")
+    n = shuffle_partitions(index.sparkSession)
+    bucketed = at.select("entity", "gen", "key", "final", "row_id", "digest").repartition(n, "entity", "key").sortWithinPartitions("entity", "gen", "key")
+    return bucketed.mapInArrow(_probe_and_swap, CHANGES)
+
+
+def _probe_and_swap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One bucket: rows of each entity by snapshot. ``stored`` is the bucket's index of the entity's last snapshot; the
+    rows of the next one probe it and fill ``arriving``, which then takes its place."""
+    out: list[tuple] = []
+    entity, gen, final = None, 0, False
+    stored: dict[str, tuple[str, int]] = {}
+    arriving: dict[str, tuple[str, int]] = {}
+
+    def left() -> None:
+        """What the snapshot just read did not have any more; then swap."""
+        nonlocal stored, arriving
+        out.extend((entity, key, "removed", row, row, None) for key, (_, row) in stored.items())
+        stored, arriving = arriving, {}
+
+    for batch in batches:
+        for whose, at, key, last, row, digest in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if whose != entity or at != gen:
+                if entity is not None:
+                    left()
+                    if (whose != entity and not final) or (whose == entity and at > gen + 1):
+                        left()  # this bucket has no row of the following snapshot
+                if whose != entity:
+                    stored = {}
+                entity, gen, final = whose, at, last
+            before = stored.pop(key, None)
+            if before is None:
+                if at > 1:
+                    out.append((whose, key, "added", row, None, row))
+            elif before[0] != digest:
+                out.append((whose, key, "changed", row, before[1], row))
+            arriving[key] = (digest, row)
+        if len(out) > 50_000:
+            yield _changes(out)
+            out = []
+    if entity is not None:
+        left()
+        if not final:
+            left()
+    if out:
+        yield _changes(out)
+
+
+def _changes(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
+    names = [part.split()[0] for part in CHANGES.split(", ")]
+    return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
 
 def fetch_values(changes: DataFrame, rows: DataFrame, row_id: str, *values: str) -> DataFrame:
