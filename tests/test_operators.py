@@ -53,15 +53,30 @@ def test_skip_and_pins(spark):
     assert [r[0] for r in df.select(timeline.first_range(F.col("t"), [(9, 10), (10, 20)])).collect()] == [None, 0, 0, 1, 1]
 
 
-def test_interpolation_and_median(spark):
+@pytest.mark.parametrize("size", [1_000_000, 3])
+def test_interpolation_and_median(spark, size):
     values = [1.0, None, 3.0, None, None, None, 7.0, None]
     df = spark.createDataFrame([("k", i, v) for i, v in enumerate(values)], "k string, i bigint, v double")
-    out = timeline.interpolate_gaps(df, "k", ["i"], "i", "v", 2).orderBy("i").collect()
+    out = timeline.interpolate_gaps(df, "k", "i", "v", 2, size=size).orderBy("i").collect()
     assert [r.filled for r in out] == [1.0, 2.0, 3.0, None, None, None, 7.0, None] and out[1].interpolated and not out[3].interpolated
-    smooth = timeline.median_smooth(df, "k", ["i"], "v", 5).orderBy("i").collect()
+    smooth = timeline.median_smooth(df, "k", "i", "v", 5, size=size).orderBy("i").collect()
     assert [r.smoothed for r in smooth] == [2.0, None, 2.0, None, None, None, 7.0, None]
 
 
+@pytest.mark.parametrize("size", [1_000_000, 1, 4, 7])
+def test_islands_in_slabs(spark, size):
+    rng = random.Random(11)
+    places = sorted(rng.sample(range(80), 55))
+    df = spark.createDataFrame([("k", p) for p in places], "k string, p bigint")
+    want = []
+    for p in places:
+        if want and p == want[-1][1] + 1:
+            want[-1] = (want[-1][0], p, want[-1][2] + 1)
+        else:
+            want.append((p, p, 1))
+    assert sorted((r['first'], r['last'], r.n) for r in timeline.islands(df, ["k"], "p", size).collect()) == want
+
+
 def test_words(spark):
     words = [("b", 50, 90, 20, 0.9), ("a", 0, 40, 20, 0.8), ("no", 100, 130, 20, 0.1), ("c", 150, 190, 20, 0.7)]
     df = spark.createDataFrame([(words,), ([],)], "w array<struct<text:string,left:int,right:int,height:int,confidence:double>>")

@@ -33,33 +33,58 @@ def first_range(t: Column, ranges: list[tuple[int, int]]) -> Column:
     return found
 
 
-def median_smooth(df: DataFrame, key: str, order: list[str], value: str, window: int, pinned: Column | None = None, name: str = "smoothed") -> DataFrame:
-    """Centred median over ``window`` rows, nulls not counted; null, pinned and lonely values stay as they are."""
+SLAB = 1_000_000  # rows of one key that a task handles at once in the operators below
+
+
+def slabs(df: DataFrame, position: str, halo: int, size: int = SLAB) -> DataFrame:
+    """``df`` cut into slabs of ``size`` positions, each with copies of the ``halo`` positions around it: _slab, and _own
+    for the rows that belong to it. With dense positions a window within a slab sees what it would see without slabs."""
+    slab = lambda shift: F.floor((F.col(position) + shift) / size).cast("bigint")
+    cut = df.withColumn("_slab", F.explode(F.array_distinct(F.array(slab(0), slab(-halo), slab(halo)))))
+    return cut.withColumn("_own", F.col("_slab") == slab(0))
+
+
+def median_smooth(df: DataFrame, key: str, position: str, value: str, window: int, pinned: Column | None = None, name: str = "smoothed", size: int = SLAB) -> DataFrame:
+    """Centred median over ``window`` rows, nulls not counted; null, pinned and lonely values stay as they are.
+    ``position`` counts the rows of a key without holes; a key may be larger than a task."""
+    if window <= 1:
+        return df.withColumn(name, F.col(value))
     half = window // 2
-    near = Window.partitionBy(key).orderBy(*order).rowsBetween(-half, half)
+    near = Window.partitionBy(key, "_slab").orderBy(position).rowsBetween(-half, half)
     keep = F.col(value).isNull() | (pinned if pinned is not None else F.lit(False)) | (F.count(value).over(near) < 2)
-    return df.withColumn(name, F.when(keep, F.col(value)).otherwise(F.percentile(value, 0.5).over(near)) if window > 1 else F.col(value))
+    out = slabs(df, position, half, size).withColumn(name, F.when(keep, F.col(value)).otherwise(F.percentile(value, 0.5).over(near)))
+    return out.filter("_own").drop("_slab", "_own")
 
 
-def interpolate_gaps(df: DataFrame, key: str, order: list[str], position: str, value: str, max_span: int, name: str = "filled") -> DataFrame:
-    """Runs of at most ``max_span`` nulls between two values are filled linearly by position; the rest stay null."""
-    upto = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    onward = Window.partitionBy(key).orderBy(*order).rowsBetween(0, Window.unboundedFollowing)
+def interpolate_gaps(df: DataFrame, key: str, position: str, value: str, max_span: int, name: str = "filled", size: int = SLAB) -> DataFrame:
+    """Runs of at most ``max_span`` nulls between two values are filled linearly by position; the rest stay null.
+    ``position`` counts the rows of a key without holes; a key may be larger than a task."""
+    reach = max_span + 1  # a value farther away does not matter
+    before = Window.partitionBy(key, "_slab").orderBy(position).rowsBetween(-reach, 0)
+    after = Window.partitionBy(key, "_slab").orderBy(position).rowsBetween(0, reach)
     known = F.when(F.col(value).isNotNull(), F.struct(F.col(position).alias("i"), F.col(value).alias("v")))
-    out = df.withColumn("_p", F.last(known, ignorenulls=True).over(upto)).withColumn("_n", F.first(known, ignorenulls=True).over(onward))
+    out = slabs(df, position, reach, size).withColumn("_p", F.last(known, ignorenulls=True).over(before)).withColumn("_n", F.first(known, ignorenulls=True).over(after))
     gap = F.col("_n.i") - F.col("_p.i") - 1
     weight = (F.col(position) - F.col("_p.i")) / (gap + 1)
     inferred = F.col(value).isNull() & (gap <= max_span)
-    return out.withColumn("interpolated", F.coalesce(inferred, F.lit(False))).withColumn(
+    return out.filter("_own").withColumn("interpolated", F.coalesce(inferred, F.lit(False))).withColumn(
         name, F.when(F.col("interpolated"), (1 - weight) * F.col("_p.v") + weight * F.col("_n.v")).otherwise(F.col(value))
-    ).drop("_p", "_n")
-
-
-def islands(df: DataFrame, key: list[str], position: str) -> DataFrame:
-    """Runs of consecutive positions: (key, first, last, n)."""
-    order = Window.partitionBy(*key).orderBy(position)
-    marked = df.select(*key, position).withColumn("_g", F.col(position) - F.row_number().over(order))
-    return marked.groupBy(*key, "_g").agg(F.min(position).alias("first"), F.max(position).alias("last"), F.count("*").alias("n")).drop("_g")
+    ).drop("_p", "_n", "_slab", "_own")
+
+
+def islands(df: DataFrame, key: list[str], position: str, size: int = SLAB) -> DataFrame:
+    """Runs of consecutive positions: (key, first, last, n). Runs are found per slab; only those that touch the edge of a
+    slab (two per slab at most) are then put together."""
+    marked = df.select(*key, position).withColumn("_slab", F.floor(F.col(position) / size).cast("bigint"))
+    order = Window.partitionBy(*key, "_slab").orderBy(position)
+    marked = marked.withColumn("_g", F.col(position) - F.row_number().over(order))
+    local = marked.groupBy(*key, "_slab", "_g").agg(F.min(position).alias("first"), F.max(position).alias("last"), F.count("*").alias("n")).drop("_slab", "_g")
+    edge = (F.col("first") % size == 0) | (F.col("last") % size == size - 1)
+    along = Window.partitionBy(*key).orderBy("first")
+    opens = F.coalesce((F.col("first") != F.lag("last").over(along) + 1).cast("int"), F.lit(1))
+    joined = local.filter(edge).withColumn("_o", opens).withColumn("_g", F.sum("_o").over(along))
+    whole = joined.groupBy(*key, "_g").agg(F.min("first").alias("first"), F.max("last").alias("last"), F.sum("n").alias("n")).drop("_g")
+    return local.filter(~edge).unionByName(whole)
 
 
 def segments(df: DataFrame, key: str, order: list[str], opens: Column) -> DataFrame:

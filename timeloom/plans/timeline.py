@@ -83,13 +83,13 @@ def contiguous_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def median_smooth(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = frames(spark, sf_dir, "value", "event_type").withColumn("value", F.when(F.col("event_type") != "error", F.col("value")))
-    out = timeline.median_smooth(rows, "user_id", ["idx"], "value", WINDOW, F.col("event_type") == "purchase")
+    out = timeline.median_smooth(rows, "user_id", "idx", "value", WINDOW, F.col("event_type") == "purchase")
     return out.select("user_id", "idx", "smoothed")
 
 
 def interpolate_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = frames(spark, sf_dir, "value", "event_type").withColumn("value", F.when(~F.col("event_type").isin("error", "click"), F.col("value")))
-    out = timeline.interpolate_gaps(rows, "user_id", ["idx"], "idx", "value", MAX_SPAN)
+    out = timeline.interpolate_gaps(rows, "user_id", "idx", "value", MAX_SPAN)
     return out.select("user_id", "idx", F.bround("filled", 6).alias("filled"), "interpolated")
 
 
