@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from timeloom.session import materialise
+
 # Letters of other alphabets (and one Latin variant) drawn like the Latin letter below them.
 CYRILLIC = "аесорхуѕіјһԁԛԝӏүАВЕКМНОРСТУХЅІЈԚԜҮӀ"
 CYRILLIC_AS = "aecopxysijhdqwlyABEKMHOPCTYXSIJQWYI"
@@ -32,8 +34,8 @@ CYRILLIC_ACCENTED = "ёїѐЁЇЀӓӑӗӧӒӐӖӦ"
 CYRILLIC_ACCENTED_AS = "ëïèËÏÈäăĕöÄĂĔÖ"
 GREEK = "ονΑΒΕΖΗΙΚΜΝΟΡΤΥΧϲϳϹ"
 GREEK_AS = "ovABEZHIKMNOPTYXcjC"
-OTHER = "օսɡℓ"
-OTHER_AS = "ougl"
+OTHER = "օսɡ"
+OTHER_AS = "oug"
 # Joined letters and what they join.
 JOINED = {
     "ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl", "ﬅ": "st", "ﬆ": "st", "ĳ": "ij", "Ĳ": "IJ",
@@ -111,7 +113,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
 
 def lookalike_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document with a visible text: its class (smallest key of the same form), members and spellings."""
-    prints = fingerprints(docs, key, text)
+    prints = materialise(fingerprints(docs, key, text))  # 32 bytes a text, so that the texts are read once
     per = prints.groupBy("form", "body").agg(F.count("*").alias("n"), F.min("id").alias("first"))
     classes = per.groupBy("form").agg(F.min("first").alias("class_id"), F.sum("n").alias("members"), F.count("*").alias("spellings"))
     return prints.join(classes, "form").select(F.col("id").alias(key), "class_id", "members", "spellings")
@@ -123,7 +125,7 @@ def lookalike_pairs(docs: DataFrame, key: str = "doc_id", text: str = "text", bl
     A class is cut into blocks of about ``block`` rows and every pair of blocks is a join key of its own, so that no
     task holds more than a pair of blocks of one class, however large the class is.
     """
-    prints = fingerprints(docs, key, text)
+    prints = materialise(fingerprints(docs, key, text))  # 32 bytes a text, so that the texts are read once
     classes = prints.groupBy("form").agg(F.count("*").alias("n"), F.min("body").alias("lo"), F.max("body").alias("hi"))
     classes = classes.filter("lo <> hi").select("form", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
     rows = prints.join(classes, "form").withColumn("at", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
