@@ -25,7 +25,7 @@ DIGIT_AS_LETTER = str.maketrans("01586", "olsbb")
 
 _SAME = str.maketrans(CYRILLIC + GREEK, CYRILLIC_AS + GREEK_AS)
 _WORD = re.compile(r"[^\W_]+")
-_CLOSE = {frozenset(p) for p in CONFUSED.split()}
+_CLOSE = {c: "".join(p.replace(c, "", 1) for p in CONFUSED.split() if c in p) for c in set(CONFUSED) - {" "}}
 _VOWELS = re.compile(r"(?<=.)[aeiou]")
 # How the surroundings of a name look: a number of four or more digits at its end, with signs around it,
 # and a sign and a word before it.
@@ -62,25 +62,54 @@ def one_for_pair(word: str) -> str:
     return word
 
 
+def _costs(c: str, text: str) -> list[int]:
+    """Half edits for reading ``c`` as each letter of ``text``."""
+    close = _CLOSE.get(c, "")
+    return [0 if c == y else 1 if y in close else 2 for y in text]
+
+
+def _next_row(c: str, before_c: str, text: str, costs: list[int], row: list[int], before: list[int] | None, at: int, most: int) -> tuple[list[int], int]:
+    """The automaton's next state after its ``at``-th letter ``c``, and the least distance in it. Only places within
+    reach of the diagonal are kept; ``before_c`` and ``before`` are the letter and the state two steps back."""
+    size, reach, far = len(text), most // 2, most + 1
+    low, high = max(1, at - reach), min(size, at + reach)
+    following = [far] * (size + 1)
+    least = far
+    if at <= reach:
+        least = following[0] = 2 * at
+    if low > high:
+        return following, least
+    left = following[low - 1]
+    for j in range(low, high + 1):
+        best = row[j - 1] + costs[j - 1]
+        other = row[j] + 2
+        if other < best:
+            best = other
+        left += 2
+        if left < best:
+            best = left
+        if before is not None and j > 1 and c == text[j - 2] and before_c == text[j - 1]:
+            other = before[j - 2] + 2
+            if other < best:
+                best = other
+        following[j] = left = best
+        if best < least:
+            least = best
+    return following, least
+
+
 def misreading(a: str, b: str, most: int) -> int:
     """Distance in half edits (a confused letter 1, any other edit or swap of neighbours 2); ``most`` + 1 if above."""
     if a == b:
         return 0
     if abs(len(a) - len(b)) * 2 > most:
         return most + 1
-    before: list[int] = []
-    row = list(range(0, 2 * len(b) + 1, 2))
-    for i, x in enumerate(a, 1):
-        following = [2 * i]
-        for j, y in enumerate(b, 1):
-            cost = 0 if x == y else 1 if frozenset((x, y)) in _CLOSE else 2
-            best = min(row[j - 1] + cost, row[j] + 2, following[j - 1] + 2)
-            if i > 1 and j > 1 and x == b[j - 2] and y == a[i - 2]:
-                best = min(best, before[j - 2] + 2)
-            following.append(best)
-        if min(following) > most and (not before or min(row) > most):
+    before, row, low = None, list(range(0, 2 * len(b) + 1, 2)), 0
+    for i, c in enumerate(a, 1):
+        following, least = _next_row(c, a[i - 2] if i > 1 else "", b, _costs(c, b), row, before, i, most)
+        if least > most and low > most:
             return most + 1
-        before, row = row, following
+        before, row, low = row, following, least
     return min(row[-1], most + 1)
 
 
@@ -155,25 +184,21 @@ class Trie:
 
     def within(self, text: str, most: int) -> Iterator[tuple[int, str, list]]:
         """(distance, string, values) of all strings within ``most`` half edits of ``text``."""
-        stack = [(self.root, "", list(range(0, 2 * len(text) + 1, 2)), None)]
+        costs: dict[str, list[int]] = {}
+        stack = [(self.root, "", list(range(0, 2 * len(text) + 1, 2)), None, 0)]
         while stack:
-            node, path, row, before = stack.pop()
+            node, path, row, before, low = stack.pop()
+            at = len(path) + 1
             for c, child in node.items():
                 if c == "":
                     if row[-1] <= most:
                         yield row[-1], path, child
                     continue
-                following = [row[0] + 2]
-                low = following[0]
-                for j, y in enumerate(text, 1):
-                    cost = 0 if c == y else 1 if frozenset((c, y)) in _CLOSE else 2
-                    best = min(row[j - 1] + cost, row[j] + 2, following[j - 1] + 2)
-                    if before is not None and j > 1 and c == text[j - 2] and path[-1] == y:
-                        best = min(best, before[j - 2] + 2)
-                    following.append(best)
-                    low = min(low, best)
-                if low <= most or min(row) <= most:
-                    stack.append((child, path + c, following, row))
+                if c not in costs:
+                    costs[c] = _costs(c, text)
+                following, least = _next_row(c, path[-1:], text, costs[c], row, before, at, most)
+                if least <= most or low <= most:
+                    stack.append((child, path + c, following, row, least))
 
 
 def abbreviations(word: str) -> Iterator[str]:
