@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from timeloom.functions import pixels
-from timeloom.plans import config
+from timeloom.plans import config, driver
 from timeloom.plans.stages import Pipeline, Stage
 from timeloom.sources import documents, engines, grid, images
 
@@ -85,6 +85,40 @@ def test_images_as_source(spark, tmp_path):
     assert first.rows == 3 and pixels.decode(first.content).shape == (24, 32) and sheets.first().sha256 == first.sha256
 
 
+def test_cleaning_aligns_to_the_frame_before(spark):
+    rng = np.random.default_rng(5)
+    base = np.clip(pixels.blur(rng.integers(0, 256, (64, 96)), 1.0), 0, 255).astype(np.uint8)
+    rows = [("v", i, bytearray(pixels.encode_png(np.roll(base, i % 2, axis=0)))) for i in range(3)] + [("v", 3, None)]
+    frames = spark.createDataFrame(rows, "slug string, idx int, content binary")
+    steps = {"align": True, "clahe": {"on": False}, "deglare": {"on": False}, "moire": {"on": False}}
+    out = images.cleaned(frames, "slug", "idx", "content", steps).orderBy("idx").collect()
+    assert [r.aligned for r in out] == [False, True, True]
+    assert np.abs(pixels.decode(out[1].content)[6:-6].astype(int) - base[6:-6]).mean() < 1
+    every = {"align": False, "clahe": {"on": True, "clip": 2.0, "tiles": 4}, "deglare": {"on": True, "amount": 0.3}, "moire": {"on": True, "sigma": 0.6}}
+    assert images.cleaned(frames, "slug", "idx", "content", every).count() == 3
+
+
+def test_driver_steps(spark, tmp_path):
+    videos = spark.createDataFrame([("v", "aa", 1.0)], "slug string, sha256 string, duration_s double")
+    added = driver.register(videos, "w", {"duration_s": 2.0}, "bb")
+    assert added.count() == 2 and driver.register(added, "w", {"duration_s": 3.0}, "bb").count() == 2
+    with pytest.raises(ValueError, match="not the one registered"):
+        driver.register(videos, "v", {}, "cc")
+    assert driver.register(videos, "v", {}, "cc", force=True).first().sha256 == "cc"
+    with pytest.raises(ValueError, match="not a slug"):
+        driver.check_slug("Bad Slug")
+    (tmp_path / "b").mkdir()
+    (tmp_path / "b" / "config.yaml").write_text(driver.config_template(609.2))
+    assert driver.listed(str(tmp_path)) == ["b"] and config.resolve(config.load_layer(tmp_path / "b" / "config.yaml"))["sample"].max_frames == 611
+    assert driver.same_commit("ABCDEF1", "abcdef1234") and not driver.same_commit("abc", "abc") and not driver.same_commit(None, "abcdef1")
+    with pytest.raises(ValueError, match="the inventory was made at"):
+        driver.require_fresh(None, "abcdef1")
+    driver.run_exporter("true", str(tmp_path))
+    with pytest.raises(RuntimeError, match="boom"):
+        driver.run_exporter("sh -c 'echo boom >&2; exit 3'", str(tmp_path))
+    assert driver.head_commit(str(tmp_path / "none")) is None
+
+
 def test_grid_source(spark):
     grid.register(spark)
     rows = spark.read.format("timeloom_grid").options(slug="v", duration_s=10.2, fps=2, rowsPerPartition=4, max_frames=15).load()

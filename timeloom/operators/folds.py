@@ -44,7 +44,7 @@ def keyed_fold(df: DataFrame, key: str, order: list[str], columns: list[str], be
         if out:
             yield emit(out)
 
-    sorted_rows = df.select(key, *order, *columns).repartition(key).sortWithinPartitions(key, *order)
+    sorted_rows = df.select(*dict.fromkeys((key, *order, *columns))).repartition(key).sortWithinPartitions(key, *order)
     return sorted_rows.select(key, *columns).mapInArrow(run, schema)
 
 

@@ -12,6 +12,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType
 
 from timeloom.functions import pixels
+from timeloom.operators.folds import keyed_fold
 
 IMAGE = "struct<h:int,w:int,c:int,data:binary>"
 
@@ -55,3 +56,28 @@ def montage(rows: DataFrame, sheet: str, row: str, image: str, width: int = 1568
 
     made = rows.select(F.col(sheet).cast("bigint").alias(sheet), row, image).groupBy(sheet).applyInArrow(build, f"{sheet} bigint, content binary, rows bigint")
     return made.withColumn("sha256", F.sha2("content", 256))
+
+
+def cleaned(frames: DataFrame, key: str, position: str, image: str, steps: dict) -> DataFrame:
+    """(key, position, content, aligned): frames run through the cleaning steps in their order; ``steps`` are those of the
+    configuration (align, clahe, deglare, moire). Each frame is aligned to the one before it as aligned, so the frames of a
+    key are streamed in order with one image held."""
+
+    def step(state: dict, k, at, data) -> list[tuple]:
+        if data is None:
+            return []
+        picture, done = pixels.decode(data), False
+        if steps.get("align") and "last" in state and state["last"].shape == picture.shape:
+            picture, done = pixels.align(picture, state["last"])
+        state["last"] = picture
+        if steps.get("clahe", {}).get("on"):
+            picture = pixels.equalise(picture, steps["clahe"]["clip"], steps["clahe"]["tiles"])
+        if steps.get("deglare", {}).get("on"):
+            picture = pixels.suppress_glare(picture, steps["deglare"]["amount"])
+        if steps.get("moire", {}).get("on"):
+            picture = np.clip(np.rint(pixels.blur(picture, steps["moire"]["sigma"])), 0, 255).astype(np.uint8)
+        return [(k, at, pixels.encode_png(picture), done)]
+
+    kind = lambda c: frames.schema[c].dataType.simpleString()
+    schema = f"{key} {kind(key)}, {position} {kind(position)}, content binary, aligned boolean"
+    return keyed_fold(frames, key, [position], [position, image], dict, step, lambda state: [], schema)
