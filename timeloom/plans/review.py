@@ -153,8 +153,32 @@ def _sql() -> dict[str, str]:
         QUALIFY row_number() OVER (PARTITION BY slug, id ORDER BY received_at, t_ms_start, t_ms_end) = 1)"""
     pts = f"pts AS (SELECT * FROM (SELECT fixture_id, slug, {timecode_sql('t')} AS t FROM fixture_screens) WHERE t IS NOT NULL)"
     gaps = f"gaps AS (SELECT * FROM (SELECT missed_id, slug, {timecode_sql('from_')} AS s, {timecode_sql('to_')} AS e FROM missed_spans) WHERE s <= e)"
+    greedy = f"""{once}, {pts}, near AS (
+            SELECT fixture_id, pts.slug, id, t_ms_start, CASE WHEN t BETWEEN t_ms_start AND t_ms_end THEN 0 ELSE least(abs(t - t_ms_start), abs(t - t_ms_end)) END AS distance
+            FROM pts JOIN once ON pts.slug = once.slug WHERE t BETWEEN t_ms_start - {TOLERANCE} AND t_ms_end + {TOLERANCE}),
+        asked AS (SELECT *, row_number() OVER (PARTITION BY slug ORDER BY fixture_id) AS n FROM (
+            SELECT slug, fixture_id, list(id ORDER BY distance, t_ms_start, id) AS wanted FROM near GROUP BY slug, fixture_id)),
+        claims AS (
+            SELECT DISTINCT slug, 0::BIGINT AS n, []::VARCHAR[] AS taken, NULL::BIGINT AS fixture_id, NULL::VARCHAR AS id FROM asked
+            UNION ALL
+            SELECT slug, n, CASE WHEN pick IS NULL THEN taken ELSE list_append(taken, pick) END, fixture_id, pick
+            FROM (SELECT a.slug, a.n, a.fixture_id, c.taken, list_filter(a.wanted, lambda w: NOT list_contains(c.taken, w))[1] AS pick
+                  FROM claims c JOIN asked a ON a.slug = c.slug AND a.n = c.n + 1)),
+        matched AS (SELECT fixture_id, slug, id, distance FROM claims JOIN near USING (fixture_id, slug, id)),
+        extra AS (SELECT slug, id, t_ms_start FROM once WHERE (slug, id) NOT IN (SELECT (slug, id) FROM matched)),
+        compared AS (SELECT fixture_id, f.name AS x_name, f.module AS x_module, o.name, o.module FROM matched JOIN fixture_screens f USING (fixture_id) JOIN once o ON o.slug = matched.slug AND o.id = matched.id),
+        differing AS (
+            SELECT fixture_id AS key, 'name' AS field, 'regression' AS status, x_name AS expected, name AS actual FROM compared WHERE coalesce(x_name, '') <> '' AND x_name IS DISTINCT FROM name
+            UNION ALL SELECT fixture_id, 'module', 'regression', x_module, module FROM compared WHERE coalesce(x_module, '') <> '' AND x_module IS DISTINCT FROM module)"""
+    closed = f"{gaps}, closing AS (SELECT missed_id, EXISTS (SELECT 1 FROM once o WHERE o.slug = gaps.slug AND t_ms_start <= e + {TOLERANCE} AND t_ms_end >= s - {TOLERANCE}) AS covered FROM gaps)"
     differs = lambda n, s: f"SELECT reading_id AS key, '{n}' AS field, '{s}' AS status, r.{n} AS expected, p.{n} AS actual FROM readings r JOIN p USING (slug, frame_id) WHERE coalesce(r.{n}, '') <> '' AND r.{n} IS DISTINCT FROM p.{n}"
     return {
+        "fixture_match": f"WITH RECURSIVE {greedy} SELECT * FROM matched",
+        "unfixtured": f"WITH RECURSIVE {greedy} SELECT * FROM extra",
+        "field_diff": f"WITH RECURSIVE {greedy} SELECT * FROM differing",
+        "finding_counts": f"""WITH RECURSIVE {greedy}, {closed} SELECT status, count(*) AS findings FROM (
+            SELECT 'regression' AS status FROM pts WHERE fixture_id NOT IN (SELECT fixture_id FROM matched) UNION ALL SELECT status FROM differing
+            UNION ALL SELECT 'unfixtured' FROM extra UNION ALL SELECT CASE WHEN covered THEN 'closed' ELSE 'gap' END FROM closing) GROUP BY status""",
         "near_fixtures": f"""WITH {once}, {pts} SELECT fixture_id, id, CASE WHEN t BETWEEN t_ms_start AND t_ms_end THEN 0 ELSE least(abs(t - t_ms_start), abs(t - t_ms_end)) END AS distance
             FROM pts JOIN once USING (slug) WHERE t BETWEEN t_ms_start - {TOLERANCE} AND t_ms_end + {TOLERANCE}""",
         "gap_closure": f"WITH {once}, {gaps} SELECT missed_id, EXISTS (SELECT 1 FROM once o WHERE o.slug = gaps.slug AND t_ms_start <= e + {TOLERANCE} AND t_ms_end >= s - {TOLERANCE}) AS covered FROM gaps",

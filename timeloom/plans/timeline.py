@@ -148,7 +148,26 @@ _FOLD = f"""{FRAMES_SQL}, fold AS (
             CAST(round_even(abs(f.value - band) + {WEIGHT} * abs(f.k - whole), 4) AS DOUBLE) AS d
         FROM fold JOIN frames f ON f.user_id = fold.user_id AND f.idx = fold.idx + 1))))"""
 _SEGMENTS = f"{_FOLD}, segs AS (SELECT *, sum(kept::INT) OVER (PARTITION BY user_id ORDER BY idx) - 1 AS segment FROM fold)"
-_CLOCK = "greatest({0}, 0) // 1000"
+_BUDGET = JUMP["diagonal"] * JUMP["max_jump"]
+_TRACK = f"""{FRAMES_SQL}, seen AS (SELECT user_id, idx, event_id, value AS x, k::DOUBLE AS y, event_type = 'error' AS weak, event_type = 'signup' AS hand FROM frames),
+    nothing AS (SELECT []::STRUCT(e BIGINT, x DOUBLE, y DOUBLE)[] AS held, []::STRUCT(e BIGINT, m VARCHAR, x DOUBLE, y DOUBLE)[] AS said),
+    track AS (
+        SELECT DISTINCT user_id, -1::BIGINT AS idx, NULL::DOUBLE AS lx, NULL::DOUBLE AS ly, held, said FROM frames, nothing
+        UNION ALL
+        SELECT user_id, idx, CASE WHEN hand OR method IN ('auto', 'reanchor') THEN x ELSE lx END, CASE WHEN hand OR method IN ('auto', 'reanchor') THEN y ELSE ly END,
+            CASE WHEN method = 'held' THEN more ELSE more[1:0] END,
+            CASE method WHEN 'held' THEN said[1:0] WHEN 'reanchor' THEN list_transform(more, lambda h: {{'e': h.e, 'm': 'reanchor', 'x': h.x, 'y': h.y}})
+                ELSE list_append(list_transform(held, lambda h: {{'e': h.e, 'm': 'jump', 'x': NULL::DOUBLE, 'y': NULL::DOUBLE}}),
+                    {{'e': event_id, 'm': method, 'x': CASE WHEN method <> 'weak' THEN x END, 'y': CASE WHEN method <> 'weak' THEN y END}}) END
+        FROM (SELECT *, CASE WHEN hand THEN 'manual' WHEN weak THEN 'weak' WHEN lx IS NULL OR sqrt((x - lx) * (x - lx) + (y - ly) * (y - ly)) <= {_BUDGET} THEN 'auto'
+                WHEN len(more) >= {JUMP["after"]} AND list_bool_and(list_transform(range(2, len(more) + 1), lambda i:
+                    sqrt((more[i].x - more[i - 1].x) * (more[i].x - more[i - 1].x) + (more[i].y - more[i - 1].y) * (more[i].y - more[i - 1].y)) <= {_BUDGET})) THEN 'reanchor' ELSE 'held' END AS method
+              FROM (SELECT s.*, t.lx, t.ly, t.held, t.said, list_append(t.held, {{'e': s.event_id, 'x': s.x, 'y': s.y}}) AS more
+                    FROM track t JOIN seen s ON s.user_id = t.user_id AND s.idx = t.idx + 1))),
+    told AS (SELECT user_id, unnest(said) AS u FROM track UNION ALL
+        SELECT user_id, unnest(list_transform(held, lambda h: {{'e': h.e, 'm': 'jump', 'x': NULL::DOUBLE, 'y': NULL::DOUBLE}}))
+        FROM track QUALIFY idx = max(idx) OVER (PARTITION BY user_id)),
+    methods AS (SELECT user_id, u.e AS event_id, u.m AS method, u.x AS x, u.y AS y FROM told)"""
 
 
 def _stamp(t: str) -> str:
@@ -189,6 +208,9 @@ def _sql() -> dict[str, str]:
                 WINDOW b AS (PARTITION BY user_id ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), a AS (PARTITION BY user_id ORDER BY idx ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
             f AS (SELECT *, coalesce(v IS NULL AND ni - pi - 1 <= {MAX_SPAN}, false) AS interpolated FROM n)
             SELECT user_id, idx, interpolated, CAST(round_even(CASE WHEN interpolated THEN (1 - (idx - pi) / (ni - pi)) * pv + ((idx - pi) / (ni - pi)) * nv ELSE v END, 6) AS DOUBLE) AS filled FROM f""",
+        "jump_reanchor": f"WITH RECURSIVE {_TRACK} SELECT * FROM methods",
+        "rejected_jumps": f"""WITH RECURSIVE {_TRACK} SELECT user_id, {", ".join(f"count(*) FILTER (method = '{m}') AS {m}" for m in ("manual", "auto", "reanchor", "jump", "weak"))},
+            avg(CASE WHEN x IS NULL THEN 1.0 ELSE 0.0 END::DOUBLE) AS lost_share FROM methods GROUP BY user_id""",
         "montage_chunks": "SELECT doc_id, (n // 20)::BIGINT AS sheet, (n % 20)::BIGINT AS row FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS n FROM documents)",
         "timecode_format": f"WITH {FRAMES_SQL} SELECT event_id, {_clock('t_ms - 3600000')} AS clock, {_stamp('t_ms - 3600000')} AS stamp FROM frames",
         "timecode_parse": f"SELECT fixture_id, {timecode_sql('t')} AS t_ms FROM fixture_screens",
