@@ -48,7 +48,9 @@ def cross_frame_agreement(df: DataFrame, key: str, name: str, *order: str) -> Da
     modal = votes.groupBy(key).agg(F.min(F.struct((-F.col("_n")).alias("n"), "_first", "_norm")).alias("m"), F.sum("_n").alias("names")).filter("names >= 2")
     per = named.groupBy(key, "_name").agg(F.count("*").alias("_c"))
     scored = per.join(modal.select(key, F.col("m._norm").alias("modal"), "names"), key).withColumn("_s", similarity(F.col("_name"), F.col("modal")))
-    return scored.groupBy(key, "modal", "names").agg(F.bround(F.sum(F.col("_s") * F.col("_c")) / F.sum("_c"), 4).alias("agreement"))
+    return scored.groupBy(key, "modal", "names").agg(
+        (F.rint(F.sum(F.rint(F.col("_s") * 10000) * F.col("_c")) / F.sum("_c")) / 10000).alias("agreement")  # whole units: exact in any order
+    )
 
 
 def framing_quality(df: DataFrame, key: str, method: Column, framing: Column) -> DataFrame:

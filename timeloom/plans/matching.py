@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from timeloom.functions.labels import normalise_label
 from timeloom.functions.similarity import is_token_subset, similarity
 from timeloom.operators import resolve, state
+from timeloom.plans.similarity_sql import SCORED
 from timeloom.plans.tables import table
 
 THRESHOLD, MARGIN = 0.82, 0.15
@@ -119,6 +120,9 @@ SQL = {
     "token_subset": f"""WITH {_NAMES}, w AS (SELECT *, list_distinct(string_split(norm, ' ')) AS w, split_part(norm, ' ', 1) AS head FROM names)
         SELECT DISTINCT a.entry_ord, b.entry_ord AS other_ord, a.norm, b.norm AS other FROM w a JOIN w b ON a.head = b.head AND a.entry_ord < b.entry_ord
         WHERE list_has_all(a.w, b.w) <> list_has_all(b.w, a.w)""",
+    "token_set_similarity": f"""WITH pairs AS (
+        SELECT reading_id * 2 AS id, {norm_sql("name")} AS a, {norm_sql("module")} AS b FROM readings UNION ALL SELECT reading_id * 2 + 1, {norm_sql("name")}, {norm_sql("section")} FROM readings), {SCORED}
+        SELECT reading_id, m.score AS to_module, s.score AS to_section FROM readings JOIN scored m ON m.id = reading_id * 2 JOIN scored s ON s.id = reading_id * 2 + 1""",
     "match_exact": f"WITH {_NAMES} SELECT reading_id, entry_ord, label FROM reads r LEFT JOIN firsts USING (norm)",
     "match_alias": f"WITH {_NAMES}, f AS (SELECT reading_id, {_FIXED} AS corrected FROM reads r) SELECT reading_id, corrected, entry_ord FROM f LEFT JOIN firsts ON corrected = norm",
     "classify_bucket": f"""WITH {_NAMES} SELECT CASE WHEN status IN ('built', 'lookup_scoped', 'patient_scoped') THEN 'built' ELSE 'new' END AS bucket, count(*) AS readings

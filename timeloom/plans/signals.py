@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from timeloom.functions import hashes
 from timeloom.operators import confidence, state, timeline
+from timeloom.plans.similarity_sql import SCORED
 from timeloom.plans.tables import table
 
 COLS, ROWS, FLAT = 7, 8, 0.05
@@ -112,7 +113,22 @@ _SIGNALS = {
 _MEASURED = " + ".join(f"CASE WHEN {n} IS NOT NULL THEN {WEIGHTS[n]}::DOUBLE ELSE 0 END" for n in WEIGHTS)
 _WEIGHED = " + ".join(f"coalesce({n} * {WEIGHTS[n]}::DOUBLE, 0)" for n in WEIGHTS)
 
+def _readings_sql() -> dict[str, str]:
+    from timeloom.plans.matching import norm_sql
+
+    return {
+        "text_agreement": f"""WITH pairs AS (SELECT reading_id AS id, CASE WHEN coalesce(name, '') <> '' AND coalesce(record, '') <> '' THEN {norm_sql("name")} END AS a, {norm_sql("record")} AS b FROM readings), {SCORED}
+            SELECT id AS reading_id, score AS agreement FROM scored""",
+        "cross_frame_agreement": f"""WITH named AS (SELECT slug, reading_id, name, {norm_sql("name")} AS norm FROM readings WHERE coalesce(name, '') <> ''),
+            votes AS (SELECT slug, norm, count(*) AS n, min(reading_id) AS seen FROM named GROUP BY ALL),
+            modal AS (SELECT slug, norm AS modal, (SELECT count(*) FROM named i WHERE i.slug = votes.slug) AS names FROM votes QUALIFY row_number() OVER (PARTITION BY slug ORDER BY n DESC, seen) = 1),
+            pairs AS (SELECT reading_id AS id, slug, norm AS a, modal AS b FROM named JOIN modal USING (slug) WHERE names >= 2), {SCORED}
+            SELECT slug, modal, names, CAST(round_even(sum(round_even(score * 10000, 0))::DOUBLE / count(*), 0) AS DOUBLE) / 10000 AS agreement FROM scored JOIN pairs USING (id) JOIN modal USING (slug) GROUP BY slug, modal, names""",
+    }
+
+
 SQL = {
+    **_readings_sql(),
     "perceptual_hash": f"WITH {_BITS} SELECT vec_id, '{COLS}x{ROWS}:' || array_to_string(list_transform(range(0, {2 * ROWS * COLS // 4}), lambda j: format('{{:x}}', b[4 * j + 1] * 8 + b[4 * j + 2] * 4 + b[4 * j + 3] * 2 + b[4 * j + 4])), '') AS hash FROM bits",
     "hash_pairs": f"""WITH {_BITS}, p AS (SELECT vec_id, b, lag(b) OVER (PARTITION BY label ORDER BY vec_id) AS a FROM bits)
         SELECT vec_id, CASE WHEN a IS NULL THEN 64 ELSE CAST(round_even(64.0 * list_sum(list_transform(range(1, len(b) + 1), lambda i: (a[i] <> b[i])::INT)) / {2 * ROWS * COLS}, 0) AS INT) END AS distance FROM p""",
