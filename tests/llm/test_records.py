@@ -34,7 +34,7 @@ def reads(spark, names):
 
 @pytest.mark.parametrize("block", [20_000, 3])
 def test_names_find_their_entry(spark, block):
-    names = [*READ, None, "", " \t\n", "Silo Allocation", "x" * 4000]
+    names = [*READ, None, "", " \t\n", "Silo Allocation", "x" * 400_000]
     found = {r.reading_id: r.entry_id for r in matching.match_names(reads(spark, names), entries(spark), "reading_id", "name", block=block).collect()}
     assert found == {**{i: e for i, e in enumerate(READ.values())}, len(READ) + 3: 1, len(READ) + 4: -1}
 
@@ -68,6 +68,32 @@ def test_same_heading(a, b, same):
     assert same_heading(a, b) is same and same_heading(b, a) is same
 
 
+def test_very_long_headings():
+    a = "Silo " * 60_000
+    assert same_heading(a + "Tariff", a + "Torlff") and not same_heading(a + "Tariff", a + "Roster") and same_heading("y" * 200_000, "y" * 100_000 + "x" + "y" * 99_999)
+
+
+def plain_distance(a, b):
+    from timeloom.llm.names import _CLOSE
+
+    d = {(i, j): 2 * (i + j) for i in range(len(a) + 1) for j in range(len(b) + 1) if not i or not j}
+    for i in range(1, len(a) + 1):
+        for j in range(1, len(b) + 1):
+            cost = 0 if a[i - 1] == b[j - 1] else 1 if b[j - 1] in _CLOSE.get(a[i - 1], "") else 2
+            d[i, j] = min(d[i - 1, j - 1] + cost, d[i - 1, j] + 2, d[i, j - 1] + 2)
+            if i > 1 and j > 1 and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1]:
+                d[i, j] = min(d[i, j], d[i - 2, j - 2] + 2)
+    return d[len(a), len(b)]
+
+
+@pytest.mark.parametrize("most", [0, 1, 2, 5, 6, 9])
+def test_misreading_is_the_plain_distance(most):
+    rng = random.Random(most)
+    for _ in range(400):
+        a, b = ("".join(rng.choices("abco0l1", k=rng.randint(0, 7))) for _ in range(2))
+        assert misreading(a, b, most) == min(plain_distance(a, b), most + 1)
+
+
 SCREEN = (
     "slug string, id string, t_ms_start bigint, t_ms_end bigint, frame_ids array<string>, identity struct<name:string,section:string>, received_at timestamp, head int, gid int"
 )

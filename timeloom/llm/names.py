@@ -99,18 +99,40 @@ def _next_row(c: str, before_c: str, text: str, costs: list[int], row: list[int]
 
 
 def misreading(a: str, b: str, most: int) -> int:
-    """Distance in half edits (a confused letter 1, any other edit or swap of neighbours 2); ``most`` + 1 if above."""
+    """Distance in half edits (a confused letter 1, any other edit or swap of neighbours 2); ``most`` + 1 if above.
+
+    Only the places within reach of the diagonal are kept, so the work grows with the length and not with its square.
+    """
     if a == b:
         return 0
-    if abs(len(a) - len(b)) * 2 > most:
-        return most + 1
-    before, row, low = None, list(range(0, 2 * len(b) + 1, 2)), 0
+    size, reach, far = len(b), most // 2, most + 1
+    if abs(len(a) - size) > reach:
+        return far
+    width = 2 * reach + 1  # place k of a row stands for letter k - reach + (its number) of b
+    before, row, low = None, [2 * (k - reach) if 0 <= k - reach <= size else far for k in range(width)], 0
     for i, c in enumerate(a, 1):
-        following, least = _next_row(c, a[i - 2] if i > 1 else "", b, _costs(c, b), row, before, i, most)
+        close = _CLOSE.get(c, "")
+        following, least = [far] * width, far
+        for k in range(max(0, reach - i), min(width, size - i + reach + 1)):
+            j = i + k - reach
+            if j == 0:
+                best = 2 * i
+            else:
+                y = b[j - 1]
+                best = row[k] + (0 if c == y else 1 if y in close else 2)
+                if k + 1 < width and row[k + 1] + 2 < best:
+                    best = row[k + 1] + 2
+                if k and following[k - 1] + 2 < best:
+                    best = following[k - 1] + 2
+                if before is not None and j > 1 and c == b[j - 2] and a[i - 2] == y and before[k] + 2 < best:
+                    best = before[k] + 2
+            following[k] = best
+            if best < least:
+                least = best
         if least > most and low > most:
-            return most + 1
+            return far
         before, row, low = row, following, least
-    return min(row[-1], most + 1)
+    return min(row[size - len(a) + reach], far)
 
 
 def beginning(a: str, whole: str, most: int) -> int | None:
@@ -124,9 +146,16 @@ def allowed(length: int) -> int:
     return 0 if length < 3 else 2 if length < 5 else 3 if length < 6 else 4 if length < 8 else 5 if length < 10 else 6
 
 
-@lru_cache(maxsize=1 << 16)
+LONG = 300  # longer names are not kept in caches
+
+
 def word_distance(a: str, b: str) -> int:
     """Misreading distance of two words in half edits, or -1 where they are different words or numbers."""
+    return _word_distance(a, b) if len(a) + len(b) <= LONG else _word_distance.__wrapped__(a, b)
+
+
+@lru_cache(maxsize=1 << 16)
+def _word_distance(a: str, b: str) -> int:
     if a == b:
         return 0
     if a.isdigit() or b.isdigit():
@@ -156,9 +185,13 @@ def _same_words(a: tuple[str, ...], b: tuple[str, ...], most: int) -> bool:
     return misreading(x, y, few) <= few if len(a) != len(b) else False
 
 
-@lru_cache(maxsize=1 << 16)
 def same_heading(a: str, b: str, most: int = 10) -> bool:
     """Whether two names are one heading apart from formatting, accents and a few misread letters."""
+    return _same_heading(a, b, most) if len(a) + len(b) <= LONG else _same_heading.__wrapped__(a, b, most)
+
+
+@lru_cache(maxsize=1 << 16)
+def _same_heading(a: str, b: str, most: int) -> bool:
     x, y = words_of(a), words_of(b)
     if not x or not y:
         return False
@@ -236,6 +269,8 @@ class ReferenceList:
                     node.setdefault("", []).append((turn > 0, entry))
                 known.update(w for w in spoken if not w.isdigit())
         self.known = frozenset(known)
+        self.longest_word = max(map(len, known), default=0)
+        self.longest_name = max(map(len, self.exact), default=0)
         for w in sorted(known):
             self.words.add(w, (w, 0))
             for short in abbreviations(w):
@@ -251,6 +286,8 @@ class ReferenceList:
         if key in self._candidates:
             return self._candidates[key]
         plain = as_letters(word)
+        if len(plain) > self.longest_word + 4:
+            return {}
         found = {plain: 0} if plain in self.known else self._misread(plain, hard)
         for w in self.known:
             if w not in found and len(w) > len(plain) > 3:
@@ -307,6 +344,8 @@ class ReferenceList:
     def _joined(self, words: tuple[str, ...]) -> dict[int, int]:
         """Entries near the words written as one, with the same numbers in them, but divided otherwise."""
         text = "".join(map(as_letters, words))
+        if len(text) > self.longest_name + 4:
+            return {}
         most = min(4, len(text) // 6 * 2)
         numbers = re.findall(r"\d+", text)
         found: dict[int, int] = {}
@@ -351,6 +390,8 @@ class ReferenceList:
 
     def best(self, name: str) -> tuple[int, int] | None:
         """(cost, entry) of the nearest entry, the smallest of equally near ones, or None."""
+        if len(name) > LONG:
+            return next(iter(self.find(name)), None)
         key = words_of(name) if not _NUMBER.search(name) and not _CUT.search(name) else name
         if key not in self._found:
             if len(self._found) > 200_000:
