@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from timeloom.operators.ordered import join_unique
 from timeloom.session import materialise
 
 # Letters of other alphabets (and one Latin variant) drawn like the Latin letter below them.
@@ -116,20 +117,33 @@ def lookalike_classes(docs: DataFrame, key: str = "doc_id", text: str = "text")
     prints = materialise(fingerprints(docs, key, text))  # 32 bytes a text, so that the texts are read once
     per = prints.groupBy("form", "body").agg(F.count("*").alias("n"), F.min("id").alias("first"))
     classes = per.groupBy("form").agg(F.min("first").alias("class_id"), F.sum("n").alias("members"), F.count("*").alias("spellings"))
-    return prints.join(classes, "form").select(F.col("id").alias(key), "class_id", "members", "spellings")
+    found = join_unique(prints.select("form", "id"), materialise(classes), "form", "members", prints.count())
+    return found.select(F.col("id").alias(key), "class_id", "members", "spellings")
 
 
 def lookalike_pairs(docs: DataFrame, key: str = "doc_id", text: str = "text", block: int = 2000) -> DataFrame:
     """All pairs (key_a < key_b) of rows whose texts differ but have one form.
 
-    A class is cut into blocks of about ``block`` rows and every pair of blocks is a join key of its own, so that no
-    task holds more than a pair of blocks of one class, however large the class is.
+    Only different spellings are paired, so copies of one text are never held against each other; then each pair of
+    spellings is expanded to its rows. A class of many spellings is paired block by block, and so are the rows of a
+    spelling of many copies: no task holds more than two blocks of about ``block``, however large the class is.
     """
     prints = materialise(fingerprints(docs, key, text))  # 32 bytes a text, so that the texts are read once
-    classes = prints.groupBy("form").agg(F.count("*").alias("n"), F.min("body").alias("lo"), F.max("body").alias("hi"))
-    classes = classes.filter("lo <> hi").select("form", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
-    rows = prints.join(classes, "form").withColumn("at", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    left = rows.select("form", "at", F.explode(F.sequence("at", F.col("blocks") - 1)).alias("to"), F.col("id").alias("a"), F.col("body").alias("body_a"))
-    right = rows.select("form", F.col("at").alias("to"), F.explode(F.sequence(F.lit(0), "at")).alias("at"), F.col("id").alias("b"), F.col("body").alias("body_b"))
-    pairs = left.join(right, ["form", "at", "to"]).filter("body_a <> body_b AND (at <> to OR a < b)")
+    per = prints.groupBy("form", "body").agg(F.count("*").alias("n"))
+    classes = per.groupBy("form").agg(F.count("*").alias("spellings")).filter("spellings > 1")
+    several = materialise(per.join(classes, "form"))
+    cut = lambda n: F.ceil(F.col(n) / block).cast("int")
+    place = lambda c, n: F.pmod(F.xxhash64(c), F.col(n)).cast("int")
+
+    spelled = several.select("form", "body", cut("n").alias("parts"), cut("spellings").alias("blocks")).withColumn("at", place("body", "blocks"))
+    left = spelled.select("form", "at", F.explode(F.sequence("at", F.col("blocks") - 1)).alias("to"), F.col("body").alias("body_a"), F.col("parts").alias("parts_a"))
+    right = spelled.select("form", F.col("at").alias("to"), F.explode(F.sequence(F.lit(0), "at")).alias("at"), F.col("body").alias("body_b"), F.col("parts").alias("parts_b"))
+    both = left.join(right, ["form", "at", "to"]).filter("at <> to OR body_a < body_b")
+    both = both.withColumn("part_a", F.explode(F.sequence(F.lit(0), F.col("parts_a") - 1))).withColumn("part_b", F.explode(F.sequence(F.lit(0), F.col("parts_b") - 1)))
+
+    rows = join_unique(prints.select("body", "id"), several.select("body", "n"), "body", "n", prints.count())
+    rows = rows.withColumn("parts", cut("n")).select("id", "body", place("id", "parts").alias("part"))
+    a = rows.select(F.col("id").alias("a"), F.col("body").alias("body_a"), F.col("part").alias("part_a"))
+    b = rows.select(F.col("id").alias("b"), F.col("body").alias("body_b"), F.col("part").alias("part_b"))
+    pairs = both.select("body_a", "part_a", "body_b", "part_b").join(a, ["body_a", "part_a"]).join(b, ["body_b", "part_b"])
     return pairs.select(F.least("a", "b").alias(f"{key}_a"), F.greatest("a", "b").alias(f"{key}_b"))
