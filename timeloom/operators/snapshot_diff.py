@@ -24,7 +24,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from timeloom.session import shuffle_partitions
+from timeloom.operators.ordered import join_unique
+from timeloom.session import materialise, shuffle_partitions
 
 CHANGES = "entity string, key string, change string, row_id bigint, old_row_id bigint, new_row_id bigint"
 
@@ -46,12 +47,14 @@ def snapshot_index(rows: DataFrame, entity: Column, snapshot: Column, key: Colum
 
 def diff_history(index: DataFrame) -> DataFrame:
     """(entity, key, change, row_id, old_row_id, new_row_id) for every snapshot of an entity and its next one."""
-    order = Window.partitionBy("entity").orderBy("snapshot")
-    times = index.select("entity", "snapshot").distinct().select("entity", "snapshot", F.row_number().over(order).alias("gen"))
-    times = times.withColumn("final", F.lead("gen").over(order).isNull())
-    at = index.join(times, ["entity", "snapshot"]).drop("snapshot")
+    index = materialise(index.select(F.struct("entity", "snapshot").alias("at"), "key", "row_id", "digest"))
+    sizes = index.groupBy("at").agg(F.count("*").alias("n"))
+    order = Window.partitionBy("at.entity").orderBy("at.snapshot")
+    times = materialise(sizes.select("at", "n", F.row_number().over(order).alias("gen"), F.lead("at").over(order).isNull().alias("final")))
+    total = times.agg(F.sum("n")).first()[0] or 0
+    at = join_unique(index, times, "at", "n", total).select("at.entity", "gen", "key", "final", "row_id", "digest")
     n = shuffle_partitions(index.sparkSession)
-    bucketed = at.select("entity", "gen", "key", "final", "row_id", "digest").repartition(n, "entity", "key").sortWithinPartitions("entity", "gen", "key")
+    bucketed = at.repartition(n, "entity", "key").sortWithinPartitions("entity", "gen", "key")
     return bucketed.mapInArrow(_probe_and_swap, CHANGES)
 
 
@@ -135,22 +138,22 @@ class SnapshotIndex:
 
     def probe(self, index: DataFrame) -> DataFrame:
         """Changes from the stored snapshots to ``index``, which holds one whole new snapshot of some entities."""
-        new = self._bucketed(index)
-        stored = self._table()
-        known = stored.select("entity").distinct()
-        arrived = new.select("entity").distinct()
-        old = stored.join(arrived, "entity", "left_semi")
+        new, stored = self._bucketed(index), self._table()
+        sizes = stored.groupBy("entity").agg(F.count("*").alias("old_n")).join(new.groupBy("entity").agg(F.count("*").alias("new_n")), "entity")
+        sizes = materialise(sizes)  # entities that are stored and have arrived; the others have no change
+        old_total, new_total = sizes.agg(F.sum("old_n"), F.sum("new_n")).first()
+        old = join_unique(stored, sizes.select("entity", "old_n"), "entity", "old_n", old_total or 0)
+        new = join_unique(new, sizes.select("entity", "new_n"), "entity", "new_n", new_total or 0)
         n, o = new.alias("n"), old.alias("o")
         same = (F.col("n.bucket") == F.col("o.bucket")) & (F.col("n.entity") == F.col("o.entity")) & (F.col("n.key") == F.col("o.key"))
         change = (
             F.when(F.col("o.row_id").isNull(), "added").when(F.col("n.row_id").isNull(), "removed")
             .when(F.col("n.digest") != F.col("o.digest"), "changed")
         )
-        found = n.join(o, same, "full_outer").select(
+        return n.join(o, same, "full_outer").select(
             F.coalesce("n.entity", "o.entity").alias("entity"), F.coalesce("n.key", "o.key").alias("key"), change.alias("change"),
             F.coalesce("n.row_id", "o.row_id").alias("row_id"), F.col("o.row_id").alias("old_row_id"), F.col("n.row_id").alias("new_row_id"),
         ).filter("change is not null")
-        return found.join(known, "entity", "left_semi")
 
     def swap(self, index: DataFrame) -> None:
         """Store ``index`` in place of the stored snapshots of its entities."""
