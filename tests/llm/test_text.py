@@ -33,6 +33,16 @@ def test_ids_are_the_library_s(coder, library):
     assert coder.ids(None) == []
 
 
+def test_long_texts_are_split_where_no_piece_reaches_over(coder, monkeypatch):
+    rng = random.Random(2)
+    bits = list("ab1 _\n\t'é中\x1c\x85 ̀st!") + ["the", "   ", "'re", "12ab", "----"]
+    texts = ["".join(rng.choices(bits, k=400)) for _ in range(200)]
+    want = [coder.packed(t) for t in texts]
+    for chunk in (1, 7, 50):
+        monkeypatch.setattr(tokens, "CHUNK", chunk)
+        assert [coder.packed(t) for t in texts] == want
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text(max_size=30), st.text(max_size=12), st.integers(0, 30), st.integers(0, 30))
 def test_appends_and_edits_stay_exact(text, new, a, b):

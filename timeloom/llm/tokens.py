@@ -32,6 +32,8 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 ASCII_PATTERN = r" ?[A-Za-z]+|'(?:[stmd]|re|ve|ll)| ?[0-9]+| ?[^\t-\r A-Za-z0-9]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+"
 CACHED_PIECES = 400_000
 IDS_PER_BATCH = 4_000_000
+CHUNK = 1 << 20
+_CUT = re.compile(r"\w(?=[\n\r\t ])|[A-Za-z](?=[0-9])|[0-9](?=[A-Za-z])")
 
 
 class Vocabulary:
@@ -162,7 +164,16 @@ class Encoder:
         return self._ascii(text) if text.isascii() else self._any(text)
 
     def packed(self, text: str) -> bytes:
-        return b"".join(map(self.pieces.__getitem__, self.split(text)))
+        """Ids as little-endian 32-bit bytes; long texts are split part by part, at places no piece reaches over."""
+        if len(text) <= CHUNK:
+            return b"".join(map(self.pieces.__getitem__, self.split(text)))
+        parts, at = [], 0
+        while at < len(text):
+            place = _CUT.search(text, at + CHUNK) if at + CHUNK < len(text) else None
+            end = place.end() if place else len(text)
+            parts.append(b"".join(map(self.pieces.__getitem__, self.split(text[at:end]))))
+            at = end
+        return b"".join(parts)
 
     def ids(self, text: str | None) -> list[int]:
         return np.frombuffer(self.packed(text), "<i4").tolist() if text else []
