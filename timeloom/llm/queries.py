@@ -27,7 +27,7 @@ def p2_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The names that stand for no entry, in comparable form, with how often each was read."""
     readings = _table(spark, sf_dir, "readings")
     none = p2_found(spark, sf_dir).filter("entry_id = -1").select("reading_id")
-    plain = F.trim(F.lower(F.regexp_replace("name", r"[^\\p{L}\\p{N}]+", " ")))
+    plain = F.trim(F.lower(F.regexp_replace("name", r"[^\p{L}\p{N}]+", " ")))
     found = readings.select("reading_id", plain.alias("name")).join(none, "reading_id")
     return found.groupBy("name").agg(F.count("*").alias("readings"), F.min("reading_id").alias("first_reading_id"))
 
