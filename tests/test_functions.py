@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from timeloom.functions import geometry, hashes, timecode
 from timeloom.functions.labels import normalise_label_text
-from timeloom.functions.similarity import is_token_subset, similarity, token_set_score
+from timeloom.functions.similarity import Nearest, is_token_subset, similarity, token_set_score
 
 
 @pytest.mark.parametrize(
@@ -104,3 +104,17 @@ def test_settled(spark, run, ok):
 def test_band_rects(spark):
     r = spark.range(1).select(geometry.band_rects(F.lit(0), F.lit(100), F.lit(1600), {"a": (0, 0.4, 0, 0.5), "b": (1, 1.4, 0, 0.5), "none": (0, 0.001, 0, 1)}).alias("m")).first().m
     assert {k: tuple(v) for k, v in r.items()} == {"a": (0, 0, 800, 40), "b": (0, 100, 800, 40)}
+
+
+def test_nearest_is_the_first_best_score():
+    import random
+
+    rng = random.Random(1)
+    name = lambda: " ".join("".join(rng.choices("abcd", k=rng.randint(1, 5))) for _ in range(rng.randint(0, 3)))
+    names = [name() for _ in range(80)]
+    nearest = Nearest(names)
+    for _ in range(200):
+        read = name()
+        scores = [token_set_score(read, n) for n in names]
+        best = max(scores)
+        assert nearest.find(read) == ((best, scores.index(best)) if best > 0 else (0.0, None))

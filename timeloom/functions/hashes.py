@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -20,17 +22,25 @@ def grid_for(height: Column, width: Column) -> Column:
 
 def difference_hash(grid: Column, cols: int, rows: int, flat: float = FLAT) -> Column:
     """Hash of a row-major array of ``rows`` x (``cols`` + 1) cell means: first the brighter bits, then the darker."""
-    wide = cols + 1
+    wide, bits = cols + 1, 2 * cols * rows
     deltas = F.flatten(
         F.transform(
             F.sequence(F.lit(0), F.lit(rows - 1)),
             lambda r: F.zip_with(F.slice(grid, r * wide + 2, cols), F.slice(grid, r * wide + 1, cols), lambda b, a: b - a),
         )
     )
-    bits = F.concat(F.transform(deltas, lambda d: (d > flat).cast("int")), F.transform(deltas, lambda d: (d < -flat).cast("int")))
-    padded = F.concat(bits, F.array_repeat(F.lit(0), -(2 * cols * rows) % 8))
-    nibble = lambda i: F.lower(F.hex(sum(F.get(padded, i * 4 + k) * (8 >> k) for k in range(4)).cast("bigint")))
-    return F.concat(F.lit(f"{cols}x{rows}:"), F.array_join(F.transform(F.sequence(F.lit(0), F.lit((2 * cols * rows + 7) // 8 * 2 - 1)), nibble), ""))
+    padded = _let(
+        deltas,
+        lambda d: F.concat(F.transform(d, lambda x: (x > flat).cast("int")), F.transform(d, lambda x: (x < -flat).cast("int")), F.array_repeat(F.lit(0), -bits % 8)),
+    )
+    nibble = lambda p, i: F.lower(F.hex(sum(F.get(p, i * 4 + k) * (8 >> k) for k in range(4)).cast("bigint")))
+    text = _let(padded, lambda p: F.array_join(F.transform(F.sequence(F.lit(0), F.lit((bits + 7) // 8 * 2 - 1)), lambda i: nibble(p, i)), ""))
+    return F.concat(F.lit(f"{cols}x{rows}:"), text)
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often ``body`` names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def grid_bits(grid: Column, available: Column) -> Column:

@@ -24,6 +24,40 @@ def _common(a: str, b: str) -> int:
     return len(a) - row.bit_count()
 
 
+class Nearest:
+    """The most similar of a list of normalised names, the first of equally similar ones."""
+
+    def __init__(self, names: list[str]) -> None:
+        words = [frozenset(n.split()) for n in names]
+        self.rows = [(i, n, w, " ".join(sorted(w))) for i, (n, w) in enumerate(zip(names, words, strict=True)) if w]
+
+    def find(self, name: str, score: float = 0.0) -> tuple[float, int | None]:
+        """(score, place) of the nearest name above ``score``, or (score, None)."""
+        words = frozenset(name.split())
+        own, at = " ".join(sorted(words)), None
+        if not words:
+            return score, None
+        masks: dict[str, int] = {}
+        for i, c in enumerate(own):
+            masks[c] = masks.get(c, 0) | 1 << i
+        full, size = (1 << len(own)) - 1, len(own)
+        for place, other, theirs, text in self.rows:
+            if words.isdisjoint(theirs):  # then nothing but the common letters counts
+                total = size + len(text)
+                if 2 * min(size, len(text)) <= score * total:
+                    continue
+                row = full
+                for c in text:
+                    hit = row & masks.get(c, 0)
+                    row = ((row + hit) | (row - hit)) & full
+                found = round(1 - (total - 2 * (size - row.bit_count())) / total, 4)
+            else:
+                found = token_set_score(name, other)
+            if found > score:
+                score, at = found, place
+        return score, at
+
+
 @lru_cache(maxsize=1 << 18)
 def token_set_score(a: str, b: str) -> float:
     """Similarity in [0, 1] of two normalised labels, rounded to 4 digits; 0 where one has no words.

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from timeloom.functions.labels import normalise_label, normalise_label_text
-from timeloom.functions.similarity import token_set_score
+from timeloom.functions.similarity import Nearest
+from timeloom.session import shuffle_partitions
 
 BLOCK = 50_000  # names of the reference list that are sent to the tasks at once
 
@@ -49,7 +50,7 @@ def match_nearest(reads: DataFrame, names: DataFrame, norm: str = "norm", block:
 
     The reference list goes to the tasks in blocks of bounded size; every distinct name is scored against every block.
     """
-    out = reads.select(F.col(norm).alias("norm")).filter("norm <> ''").distinct()
+    out = reads.select(F.col(norm).alias("norm")).filter("norm <> ''").distinct().repartition(shuffle_partitions(reads.sparkSession))  # scoring is the cost
     out = out.select("norm", F.lit(0.0).alias("score"), F.lit(None).cast("bigint").alias("entry_ord"), F.lit(None).cast("string").alias("label"))
     held: list[tuple[str, int, str]] = []
     kinds = [pa.string(), pa.float64(), pa.int64(), pa.string()]
@@ -58,14 +59,12 @@ def match_nearest(reads: DataFrame, names: DataFrame, norm: str = "norm", block:
         shared = df.sparkSession.sparkContext.broadcast(part)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            nearest = Nearest([other for other, _, _ in shared.value])
             for batch in batches:
                 best = []
                 for name, score, entry, label in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                    for other, entry_ord, entry_label in shared.value:
-                        s = token_set_score(name, other)
-                        if s > score:
-                            score, entry, label = s, entry_ord, entry_label
-                    best.append((name, score, entry, label))
+                    score, place = nearest.find(name, score)
+                    best.append((name, score, entry, label) if place is None else (name, score, *shared.value[place][1:]))
                 yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*best, strict=True), kinds, strict=True)] if best else [pa.array([], k) for k in kinds], names=["norm", "score", "entry_ord", "label"])
 
         return df.mapInArrow(run, "norm string, score double, entry_ord bigint, label string")
