@@ -6,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from timeloom.operators.numbering import chunked, numbered
+from timeloom.operators.numbering import chunked, numbered, numbered_within
 from timeloom.operators.ordered import join_unique, prefix_scan
 
 
@@ -26,6 +26,17 @@ def test_numbered_gives_every_place_once(spark):
     assert {r.i: r.position for r in rows} == want
 
 
+def test_places_within_keys_of_any_size(spark):
+    rng = random.Random(2)
+    rows = [(rng.choice(["hot"] * 5 + ["a", "b", None]), rng.randint(0, 9), i) for i in range(700)]
+    df = spark.createDataFrame([(v, k, i) for k, v, i in rows], "v int, k string, i int").repartition(3)
+    found = {r.i: r.idx for r in numbered_within(df, "k", "v", "i").collect()}
+    want = {}
+    for key in {k for k, _, _ in rows}:
+        want |= {i: n for n, (_, i) in enumerate(sorted((v, i) for k, v, i in rows if k == key))}
+    assert found == want and numbered_within(df.limit(0), "k", "v").collect() == []
+
+
 def test_numbered_of_nothing(spark):
     assert numbered(spark.createDataFrame([], "v int"), "v").collect() == []
 

@@ -51,26 +51,27 @@ def keyed_fold(df: DataFrame, key: str, order: list[str], columns: list[str], be
 def last_kept(df: DataFrame, key: str, order: list[str], idx: str, band: str, full: str, threshold: float, weight: float, min_gap: int, row_id: str) -> DataFrame:
     """Keep a row where it differs enough from the last *kept* one, and far enough from it in index.
 
-    (key, row_id, idx, distance, kept, suppressed): the first comparable row is kept with a null distance; a row with a
-    null measure is not comparable, but counts in ``idx``; ``suppressed`` rows differ enough but come too early.
+    (key, row_id, idx, distance, kept, suppressed, segment): the first comparable row is kept with a null distance; a row
+    with a null measure is not comparable, but counts in ``idx``; ``suppressed`` rows differ enough but come too early;
+    ``segment`` numbers the kept rows (from 0), each with the rows up to the next one.
     """
 
     def step(state: dict, k, i, b, f, r) -> list[tuple]:
         if b is None or f is None:
             return []
         if "idx" not in state:
-            state.update(idx=i, band=b, full=f)
-            return [(k, r, i, None, True, False)]
+            state.update(idx=i, band=b, full=f, segment=0)
+            return [(k, r, i, None, True, False, 0)]
         score = round(abs(b - state["band"]) + weight * abs(f - state["full"]), 4)
         distinct, wide = score > threshold, i - state["idx"] >= min_gap
         if distinct and wide:
-            state.update(idx=i, band=b, full=f)
-        return [(k, r, i, score, distinct and wide, distinct and not wide)]
+            state.update(idx=i, band=b, full=f, segment=state["segment"] + 1)
+        return [(k, r, i, score, distinct and wide, distinct and not wide, state["segment"])]
 
     kind = lambda c: df.schema[c].dataType.simpleString()
     return keyed_fold(
         df, key, order, [idx, band, full, row_id], dict, step, lambda state: [],
-        f"{key} {kind(key)}, {row_id} {kind(row_id)}, {idx} {kind(idx)}, distance double, kept boolean, suppressed boolean",
+        f"{key} {kind(key)}, {row_id} {kind(row_id)}, {idx} {kind(idx)}, distance double, kept boolean, suppressed boolean, segment bigint",
     )
 
 

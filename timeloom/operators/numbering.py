@@ -29,6 +29,48 @@ def numbered(df: DataFrame, *order: str, name: str = "position") -> DataFrame:
     return scan(range_sorted(df, *order), summarise, lambda a, b: a + b, apply, f"{kinds}, `{name}` bigint")
 
 
+def numbered_within(df: DataFrame, key: str, *order: str, name: str = "idx") -> DataFrame:
+    """``df`` with the place (from 0) of each row among those of its key; a key may span any number of tasks."""
+
+    def runs(batch: pa.RecordBatch) -> tuple[list, np.ndarray]:
+        """Keys of a sorted batch, and where each begins and the batch ends."""
+        coded = batch.column(0).dictionary_encode()
+        codes = coded.indices.fill_null(-1).to_numpy(zero_copy_only=False)
+        edges = np.r_[0, np.flatnonzero(codes[1:] != codes[:-1]) + 1, len(codes)]
+        return [batch.column(0)[int(e)].as_py() for e in edges[:-1]], edges
+
+    def summarise(batches: Iterator[pa.RecordBatch]):
+        last, n, only, seen = None, 0, True, False
+        for batch in batches:
+            if batch.num_rows:
+                keys, edges = runs(batch)
+                for k, size in zip(keys, np.diff(edges).tolist(), strict=True):
+                    if seen and k == last:
+                        n += size
+                    else:
+                        last, n, only, seen = k, size, not seen, True
+        return (last, n, only) if seen else None
+
+    def combine(a, b):
+        return (b[0], a[1] + b[1], a[2]) if b[2] and a[0] == b[0] else (b[0], b[1], False)
+
+    def apply(batches: Iterator[pa.RecordBatch], carry, _: int) -> Iterator[pa.RecordBatch]:
+        last, n, seen = (*carry[:2], True) if carry else (None, 0, False)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys, edges = runs(batch)
+            places = np.arange(batch.num_rows, dtype=np.int64) - np.repeat(edges[:-1], np.diff(edges))
+            if seen and keys[0] == last:
+                places[: edges[1]] += n
+            last, n, seen = keys[-1], int(places[-1]) + 1, True
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(places)], [*batch.schema.names, name])
+
+    rows = df.select(key, *(c for c in df.columns if c != key))
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+    return scan(range_sorted(rows, key, *order), summarise, combine, apply, f"{kinds}, `{name}` bigint")
+
+
 def chunked(df: DataFrame, size: int, *order: str) -> DataFrame:
     """``df`` with sheet (number of a chunk of ``size`` rows) and row (place in it)."""
     out = numbered(df, *order)

@@ -1,4 +1,4 @@
-"""Timelines: grids, ranges, windows, islands and segments of the ordered observations of a key."""
+"""Timelines: grids, ranges, windows and islands of the ordered observations of a key, words of a line."""
 
 from __future__ import annotations
 
@@ -87,13 +87,6 @@ def islands(df: DataFrame, key: list[str], position: str, size: int = SLAB) -> D
     return local.filter(~edge).unionByName(whole)
 
 
-def segments(df: DataFrame, key: str, order: list[str], opens: Column) -> DataFrame:
-    """``df`` with the number (from 0) of the segment each row belongs to; a segment begins where ``opens`` holds, rows
-    before the first one are left out."""
-    upto = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn("segment", F.sum(opens.cast("int")).over(upto) - 1).filter("segment >= 0")
-
-
 def join_words(words: Column, least: float) -> Column:
     """struct(text, confidence) of an array of struct(text, left, right, height, confidence): confident words from left
     to right and their mean confidence; both null where none is confident."""

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from timeloom.operators.numbering import numbered_within
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -12,9 +14,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def frames(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """Events as frames: user_id, event_id, idx (place in the user's timeline, from 0), t_ms since 2024, and ``columns``."""
-    order = Window.partitionBy("user_id").orderBy("ts", "event_id")
     t_ms = F.unix_millis(F.col("ts").cast("timestamp")) - 1704067200000
-    return table(spark, sf_dir, "events").select("user_id", "event_id", (F.row_number().over(order) - 1).cast("bigint").alias("idx"), t_ms.alias("t_ms"), *columns)
+    rows = table(spark, sf_dir, "events").select("user_id", "event_id", "ts", t_ms.alias("t_ms"), *columns)
+    return numbered_within(rows, "user_id", "ts", "event_id").select("user_id", "event_id", "idx", "t_ms", *columns)
 
 
 FRAMES_SQL = """frames AS (

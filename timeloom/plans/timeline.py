@@ -53,7 +53,7 @@ def _folded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def last_kept_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _folded(spark, sf_dir)
+    return _folded(spark, sf_dir).drop("segment")
 
 
 def gap_suppressed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,8 +62,7 @@ def gap_suppressed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def build_screens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Screens: from each kept frame to the next, with its frames in order."""
-    marked = timeline.segments(_folded(spark, sf_dir), "user_id", ["idx"], F.col("kept"))
-    seen = marked.groupBy("user_id", "segment").agg(F.min("idx").alias("first_idx"), F.max("idx").alias("last_idx"), F.count("*").alias("n"), F.array_sort(F.collect_list(F.struct("idx", "event_id"))).alias("f"))
+    seen = _folded(spark, sf_dir).groupBy("user_id", "segment").agg(F.min("idx").alias("first_idx"), F.max("idx").alias("last_idx"), F.count("*").alias("n"), F.array_sort(F.collect_list(F.struct("idx", "event_id"))).alias("f"))
     return seen.select(
         "user_id", F.format_string("s_%03d", "segment").alias("id"), "first_idx", "last_idx", "n",
         F.get("f", F.lit(0))["event_id"].alias("representative"), F.array_join(F.transform("f", lambda f: f["event_id"].cast("string")), ",").alias("frames"),
@@ -72,8 +71,7 @@ def build_screens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def corroborating_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last frame of a screen other than the one that stands for it."""
-    marked = timeline.segments(_folded(spark, sf_dir), "user_id", ["idx"], F.col("kept"))
-    return marked.filter("not kept").groupBy("user_id", "segment").agg(F.max_by("event_id", "idx").alias("event_id"))
+    return _folded(spark, sf_dir).filter("not kept").groupBy("user_id", "segment").agg(F.max_by("event_id", "idx").alias("event_id"))
 
 
 def contiguous_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
