@@ -6,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from timeloom.operators.numbering import chunked, numbered, numbered_within
+from timeloom.operators.numbering import chunked, numbered, numbered_within, with_previous
 from timeloom.operators.ordered import join_unique, prefix_scan
 
 
@@ -37,6 +37,17 @@ def test_places_within_keys_of_any_size(spark):
     assert found == want and numbered_within(df.limit(0), "k", "v").collect() == []
 
 
+def test_previous_within_keys(spark):
+    rng = random.Random(3)
+    rows = [(rng.choice(["hot"] * 5 + ["a", "b"]), i, rng.choice([None, "x", "y"])) for i in range(300)]
+    df = spark.createDataFrame(rows, "k string, i int, v string").repartition(3)
+    found = {r.i: r.previous for r in with_previous(df, "k", "v", "i").collect()}
+    want, last = {}, {}
+    for k, i, v in rows:
+        want[i], last[k] = last.get(k), v
+    assert found == want and with_previous(df.limit(0), "k", "v", "i").collect() == []
+
+
 def test_numbered_of_nothing(spark):
     assert numbered(spark.createDataFrame([], "v int"), "v").collect() == []
 

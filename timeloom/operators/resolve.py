@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from timeloom.functions.labels import normalise_label, normalise_label_text
@@ -121,5 +121,6 @@ def shadowing_aliases(names: DataFrame) -> DataFrame:
 
 def ask_once(df: DataFrame, question: str, subject: str, *order: str) -> DataFrame:
     """The first row in ``order`` for each question and subject."""
-    first = Window.partitionBy(question, subject).orderBy(*order)
-    return df.withColumn("_n", F.row_number().over(first)).filter("_n = 1").drop("_n")
+    rest = [c for c in df.columns if c not in (question, subject, *order)]
+    first = df.groupBy(question, subject).agg(F.min(F.struct(*order, *rest)).alias("_f"))  # reduced before the shuffle
+    return first.select(question, subject, *(F.col("_f")[c].alias(c) for c in (*order, *rest))).select(*df.columns)

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from timeloom.functions import pixels
+from timeloom.operators import numbering
 from timeloom.plans.tables import table
 from timeloom.sources import images
 
@@ -43,8 +44,7 @@ def pixel_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def frame_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Share of pixels changed since the image before of the same label."""
-    before = F.lag("image").over(Window.partitionBy("label").orderBy("vec_id"))
-    rows = frame_images(spark, sf_dir).withColumn("previous", before)
+    rows = numbering.with_previous(frame_images(spark, sf_dir), "label", "image", "vec_id")
     return rows.select("vec_id", images.kernel(pixels.changed_share, "double", F.col("previous"), F.col("image")).alias("changed"))
 
 

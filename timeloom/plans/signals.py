@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from timeloom.functions import hashes
-from timeloom.operators import confidence, state, timeline
+from timeloom.operators import confidence, numbering, state, timeline
 from timeloom.plans.similarity_sql import SCORED
 from timeloom.plans.tables import table
 
@@ -28,8 +28,7 @@ def perceptual_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def hash_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distance of each grid to the one before it of the same label."""
-    before = Window.partitionBy("label").orderBy("vec_id")
-    rows = _hashes(spark, sf_dir).withColumn("previous", F.lag("hash").over(before))
+    rows = numbering.with_previous(_hashes(spark, sf_dir), "label", "hash", "vec_id")
     return rows.select("vec_id", hashes.hamming_distance(F.col("hash"), F.coalesce("previous", F.lit(""))).alias("distance"))
 
 
