@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,9 +32,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
-    named = sc.getConf().get("spark.checkpoint.dir")
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if named is None:
-        if not sc.master.startswith("local"):
+        if not re.match(r"local(\[|$)", sc.master):
             raise RuntimeError("spark.checkpoint.dir must name a folder all executors share")
         named = tempfile.mkdtemp(prefix="timeloom-checkpoint-")
     sc.setCheckpointDir(named)
