@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from timeloom.functions.labels import normalise_label
-from timeloom.functions.similarity import is_token_subset, similarity
+from timeloom.functions.similarity import similarity, words
 from timeloom.operators import resolve, state
 from timeloom.plans.similarity_sql import SCORED
 from timeloom.plans.tables import table
+from timeloom.session import materialise
 
 THRESHOLD, MARGIN = 0.82, 0.15
 CORRECTIONS = {"Confirm deletion": "Foundry Intake", "low BATTERY": "Silo Tariff", "Kennel Allocation Wizard": "No Such Screen"}
@@ -30,11 +31,33 @@ def normalise_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def token_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Entries that hold all words of another entry's alias or label, compared within the first word."""
-    own = names(spark, sf_dir).select("entry_ord", "name_ord", "norm", F.get(F.split("norm", " "), F.lit(0)).alias("head"))
-    other = own.select(F.col("entry_ord").alias("other_ord"), F.col("norm").alias("other"), "head").filter("other_ord is not null")
-    both = own.join(other, "head").filter("entry_ord < other_ord")
-    return both.filter(is_token_subset(F.col("norm"), F.col("other"))).select("entry_ord", "other_ord", "norm", "other").distinct()
+    """Pairs of entries where all words of a label or alias of one are among the words of one of the other, either way."""
+    return contained_names(names(spark, sf_dir))
+
+
+def contained_names(listed: DataFrame) -> DataFrame:
+    """(entry_ord, other_ord, norm, other) with entry_ord < other_ord: names whose words are properly contained, either way.
+
+    All words of the contained name are in the containing one, so its rarest word is: each name is looked up by its rarest
+    word only, among the names that hold it, and containment is checked after that. Equal names are compared once.
+    """
+    owned = materialise(listed.filter("entry_ord is not null").select("entry_ord", "norm").distinct())
+    split = owned.select("norm").distinct().select("norm", words(F.col("norm")).alias("w"))
+    holds = materialise(split.select("norm", "w", F.explode("w").alias("word")))
+    counts = holds.groupBy("word").agg(F.count("*").alias("n"))
+    rarest = holds.join(counts, "word").groupBy("norm").agg(F.min(F.struct("n", "word", "w")).alias("m"))
+    small = rarest.select(F.col("norm").alias("small"), F.col("m.w").alias("small_w"), F.col("m.word").alias("word"))
+    large = holds.select(F.col("norm").alias("large"), F.col("w").alias("large_w"), "word")
+    inside = (F.size("small_w") < F.size("large_w")) & (F.size(F.array_except("small_w", "large_w")) == 0)
+    pairs = small.join(large, "word").filter(inside).select("small", "large")
+    a = owned.select(F.col("norm").alias("small"), F.col("entry_ord").alias("a"))
+    b = owned.select(F.col("norm").alias("large"), F.col("entry_ord").alias("b"))
+    both = pairs.join(a, "small").join(b, "large").filter("a <> b")
+    first = F.col("a") < F.col("b")
+    return both.select(
+        F.least("a", "b").alias("entry_ord"), F.greatest("a", "b").alias("other_ord"),
+        F.when(first, F.col("small")).otherwise(F.col("large")).alias("norm"), F.when(first, F.col("large")).otherwise(F.col("small")).alias("other"),
+    )
 
 
 def token_set_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
