@@ -17,6 +17,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from timeloom.operators.manifest import must_be_free, read_manifest, write_manifest
 from timeloom.operators.ordered import join_unique
 from timeloom.session import checkpoint_dir, materialise
 
@@ -49,21 +50,31 @@ def flat_key(table: str, *columns: str) -> Column:
 
 
 class Ledger:
-    """Counts and earliest ids by canonical key, kept in buckets under ``path`` (shared by all executors)."""
+    """Counts and earliest ids by canonical key, kept in buckets under ``path`` (shared by all executors).
+
+    A manifest says in which generation each bucket was last written; a ledger opened on a folder that has one goes on from
+    there, with the buckets it was made with.
+    """
 
     SCHEMA = "key binary, n bigint, first_id bigint, bucket int"
 
     def __init__(self, spark: SparkSession, path: str | None = None, buckets: int | None = None) -> None:
         self.spark = spark
         self.path = path or f"{checkpoint_dir(spark)}/ledger-{uuid.uuid4().hex}"
-        self.buckets = buckets or max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
-        self.paths: dict[int, str] = {}  # bucket -> folder of its present generation
-        self.generation = 0
+        held = read_manifest(spark, self.path) or {"generation": 0, "buckets": buckets or max(8, int(spark.conf.get("spark.sql.shuffle.partitions"))), "written": {}}
+        self.buckets, self.generation = held["buckets"], held["generation"]
+        self.written: dict[int, int] = {int(b): g for b, g in held["written"].items()}  # bucket -> its present generation
+
+    @property
+    def paths(self) -> dict[int, str]:
+        """Bucket -> folder of its present generation."""
+        return {b: f"{self.path}/g{g}" for b, g in self.written.items()}
 
     def read(self, buckets: list[int] | None = None) -> DataFrame:
-        folders = sorted({self.paths[b] for b in (buckets if buckets is not None else list(self.paths)) if b in self.paths})
+        paths = self.paths
+        folders = sorted({paths[b] for b in (buckets if buckets is not None else list(paths)) if b in paths})
         parts = [
-            self.spark.read.schema(self.SCHEMA).parquet(folder).filter(F.col("bucket").isin([b for b in self.paths if self.paths[b] == folder and (buckets is None or b in buckets)]))
+            self.spark.read.schema(self.SCHEMA).parquet(folder).filter(F.col("bucket").isin([b for b in paths if paths[b] == folder and (buckets is None or b in buckets)]))
             for folder in folders
         ]
         out = self.spark.createDataFrame([], self.SCHEMA)
@@ -76,8 +87,9 @@ class Ledger:
         bucket = F.pmod(F.xxhash64("key"), F.lit(self.buckets)).cast("int")
         batch = rows.select(F.col(key).alias("key"), F.col(row_id).cast("bigint").alias("id")).filter("key is not null and id is not null")
         batch = batch.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("first_id")).withColumn("bucket", bucket)
+        must_be_free(self.spark, self.path, self.generation + 1)
         following = f"{self.path}/g{self.generation + 1}"
-        if not self.paths:  # nothing to join with yet
+        if not self.written:  # nothing to join with yet
             merged = batch
         else:
             batch = materialise(batch)
@@ -88,7 +100,9 @@ class Ledger:
             )
         merged.select("key", "n", "first_id", "bucket").repartition(F.col("bucket")).write.partitionBy("bucket").mode("overwrite").parquet(following)
         written = self.spark.read.schema(self.SCHEMA).parquet(following).select("bucket").distinct().collect()
-        self.paths |= {r.bucket: following for r in written}
+        following_written = self.written | {r.bucket: self.generation + 1 for r in written}
+        write_manifest(self.spark, self.path, self.generation + 1, buckets=self.buckets, written=following_written)
+        self.written = following_written
         self.generation += 1
 
 

@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from timeloom.operators.manifest import must_be_free, read_manifest, write_manifest
 from timeloom.operators.ordered import join_unique
 from timeloom.session import materialise, shuffle_partitions
 
@@ -119,13 +120,15 @@ class SnapshotIndex:
     """The index of the last snapshot of every entity, kept as a table in buckets of (entity, key).
 
     ``path`` must be shared by all executors. Two generations of the table exist while a swap is made, so that a
-    failed swap leaves the old one in place.
+    failed swap leaves the old one in place. A manifest beside them says which one holds; an index opened on a folder
+    that has one goes on from there, with the buckets it was made with.
     """
 
     SCHEMA = "entity string, key string, snapshot timestamp, row_id bigint, digest string, bucket int"
 
     def __init__(self, spark: SparkSession, path: str, buckets: int = 64) -> None:
-        self.spark, self.path, self.buckets, self.generation = spark, path, buckets, 0
+        held = read_manifest(spark, path) or {"generation": 0, "buckets": buckets}
+        self.spark, self.path, self.buckets, self.generation = spark, path, held["buckets"], held["generation"]
 
     def _table(self) -> DataFrame:
         if not self.generation:
@@ -157,9 +160,11 @@ class SnapshotIndex:
 
     def swap(self, index: DataFrame) -> None:
         """Store ``index`` in place of the stored snapshots of its entities."""
+        must_be_free(self.spark, self.path, self.generation + 1)
         arrived = index.select("entity").distinct()
         stored = self._table()
         kept = stored.join(arrived, "entity", "left_anti")
         following = kept.unionByName(self._bucketed(index))
         following.repartition("bucket").write.partitionBy("bucket").mode("overwrite").parquet(f"{self.path}/g{self.generation + 1}")
+        write_manifest(self.spark, self.path, self.generation + 1, buckets=self.buckets)
         self.generation += 1
