@@ -9,11 +9,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import DateType, IntegralType, LongType, StringType, StructField, StructType
 
 from timeloom.operators.intervals import DisjointIntervals
+from timeloom.session import materialise
 
 
 def last_kept_stream(stream: DataFrame, key: str, order: str, band: str, full: str, threshold: float, weight: float, min_gap: int) -> DataFrame:
@@ -91,10 +93,50 @@ def session_stream(stream: DataFrame, key: str, ts: str, gap: str, late: str = "
     return stream.withWatermark(ts, late).groupBy(F.session_window(ts, gap), key).agg(F.count("*").alias("rows"))
 
 
-def replace_in_batches(stream: DataFrame, path: str, owner: str, checkpoint: str):
-    """A sink that overwrites, in each micro-batch, the partitions of the owners it brings rows for."""
+def replace_in_batches(stream: DataFrame, path: str, owner: str, run: str, checkpoint: str):
+    """A sink that keeps, for each owner, the rows of its latest delivery: the greatest value of ``run``.
+
+    A delivery may come in any number of micro-batches; each adds its rows in a folder of its own (owner, run, batch), so a
+    micro-batch that is repeated writes over itself only. Once a later run of an owner is written, its earlier ones are
+    deleted; rows of an earlier run that come after it are left out. Rows without owner or run belong to no delivery.
+    Batches are numbered by the checkpoint, so with a new checkpoint begin new runs.
+    """
+    kind = stream.schema[run].dataType
+
+    def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        batch = batch.filter(F.col(owner).isNotNull() & F.col(run).isNotNull()).persist()
+        try:
+            arrived = batch.groupBy(owner).agg(F.max(run).alias("_last"))
+            place, fs = at(spark, path)
+            if fs.exists(place):
+                held = spark.read.option("basePath", path).schema(StructType([*stream.schema.fields, StructField("_batch", LongType())])).parquet(path)
+                held = held.join(arrived.select(owner), owner, "left_semi").groupBy(owner).agg(F.max(run).alias("_last"))
+                arrived = arrived.unionByName(held).groupBy(owner).agg(F.max("_last").alias("_last"))
+            arrived = materialise(arrived)
+            rows = batch.join(arrived, owner).filter(F.col(run) == F.col("_last")).drop("_last").withColumn("_batch", F.lit(number).cast("bigint"))
+            rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(owner, run, "_batch").parquet(path)
+            for r in arrived.select(F.col(owner).cast("string").alias("o"), F.col("_last").cast("string").alias("r")).toLocalIterator():
+                folder, _ = at(spark, f"{path}/{part(spark, owner, r.o)}")
+                for old in fs.listStatus(folder):
+                    if old.getPath().getName() != part(spark, run, r.r):
+                        fs.delete(old.getPath(), True)
+        finally:
+            batch.unpersist()
+
+    if not isinstance(kind, (StringType, IntegralType, DateType)):
+        raise TypeError(f"{run} must be text, a whole number or a date to be a folder's name: {kind.simpleString()}")
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
-    def write(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(owner).parquet(path)
 
-    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def at(spark: SparkSession, path: str):
+    """The Hadoop path and its file system."""
+    sc = spark.sparkContext
+    place = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(sc._jsc.hadoopConfiguration())
+
+
+def part(spark: SparkSession, column: str, value: str) -> str:
+    """The folder's name that Spark gives a partition."""
+    name = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    return name.getPartitionPathString(column, value)
