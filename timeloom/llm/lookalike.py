@@ -5,7 +5,8 @@ Every Arrow batch is handed to an embedded DuckDB and normalised by one SQL stat
 
 1. characters that draw nothing are dropped (zero-width, directional, soft hyphen, variation selectors, ...);
 2. accents are composed (NFC), so that what follows sees one spelling of an accented letter;
-3. full- and half-width forms, kinds of space and letters of other alphabets drawn like Latin ones are mapped;
+3. full- and half-width forms, kinds of space and letters of other alphabets drawn like Latin ones are mapped, with
+   every accent that is composed with them;
 4. joined letters are taken apart;
 5. accents are composed again, now over the mapped letters.
 
@@ -64,8 +65,34 @@ def translations() -> tuple[str, str]:
     return "".join(pairs), "".join(pairs.values())
 
 
+def accented() -> dict[str, str]:
+    """Every letter that NFC composes of a look-alike letter and accents, and what the Latin letter with them becomes."""
+    base = dict(zip(CYRILLIC + GREEK + OTHER, CYRILLIC_AS + GREEK_AS + OTHER_AS, strict=True))
+    found = {}
+    for code in range(0x80, 0x30000):
+        letter = chr(code)
+        apart = unicodedata.normalize("NFD", letter)
+        if len(apart) > 1 and apart[0] in base:
+            found[letter] = unicodedata.normalize("NFC", base[apart[0]] + apart[1:])
+    return found
+
+
+def consistent_sql(column: str) -> str:
+    """:func:`canonical_sql`, and the accented look-alike letters that it does not list. What draws nothing is
+    dropped and accents are composed first, so that letter and accent are seen as one however they are written."""
+    letters = {a: b for a, b in accented().items() if a not in CYRILLIC_ACCENTED}
+    single = {a: b for a, b in letters.items() if len(b) == 1}
+    composed = f"nfc_normalize(regexp_replace({column}, '[{NOTHING}]', '', 'g'))"
+    inner = f"translate({composed}, '{''.join(single)}', '{''.join(single.values())}')"
+    for letter, apart in letters.items():
+        if len(apart) > 1:  # there is no such Latin letter, so it stays a letter and its accents
+            inner = f"replace({inner}, '{letter}', '{apart}')"
+    found = f"strlen({column}) > length({column}) AND regexp_matches({composed}, '[{''.join(letters)}]')"
+    return f"CASE WHEN {found} THEN {canonical_sql(f'({inner})')} ELSE {canonical_sql(column)} END"
+
+
 def canonical_sql(column: str) -> str:
-    """The DuckDB expression of the consistent form of ``column``."""
+    """The DuckDB expression of the consistent form of ``column``, with the accented letters of CYRILLIC_ACCENTED only."""
     source, target = (x.replace("'", "''") for x in translations())
     inner = f"translate(nfc_normalize(regexp_replace({column}, '[{NOTHING}]', '', 'g')), '{source}', '{target}')"
     for joined, letters in JOINED.items():
@@ -97,7 +124,7 @@ def _duck(sql: str):
 
 def canonical_text(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: its key and the consistent form of its text."""
-    sql = f'SELECT "key" AS "{key}", {canonical_sql("body")} AS canonical FROM batch'
+    sql = f'SELECT "key" AS "{key}", {consistent_sql("body")} AS canonical FROM batch'
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("body"))
     return rows.mapInArrow(_duck(sql), f"`{key}` {docs.schema[key].dataType.simpleString()}, canonical string")
 
@@ -106,7 +133,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     """(key, form, body) of every text with a visible character: 128-bit digests of its consistent form and of itself."""
     sql = f"""
         SELECT "key" AS id, unhex(md5(form)) AS form, unhex(md5(body)) AS body
-        FROM (SELECT "key", body, {canonical_sql("body")} AS form FROM batch WHERE body IS NOT NULL)
+        FROM (SELECT "key", body, {consistent_sql("body")} AS form FROM batch WHERE body IS NOT NULL)
         WHERE regexp_matches(form, '{VISIBLE}')"""
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("body"))
     return rows.mapInArrow(_duck(sql), f"id {docs.schema[key].dataType.simpleString()}, form binary, body binary")
