@@ -1,21 +1,26 @@
 """Names read off a screen: one comparable form, a misreading distance, and matching against a reference list.
 
-The reference list is a trie of words, each reachable by itself and by alias paths (its usual abbreviations), and a
-trie of phrases over these words, in which an entry is reachable by its label, its aliases and their rotations (a
-name may be shown as ``Settlement - Tanker 4``). A name is walked through both: the word trie is searched by a
-Levenshtein automaton that allows each word a number of misreadings depending on its length, and returns all words
-within it; the phrase trie returns all entries whose words those are. Words run together or torn apart are searched
-for as one string in a trie of whole entries by the same automaton.
+The words of the reference list are a trie (:class:`Vocabulary`), each reachable by itself and by alias paths (its usual
+abbreviations); it is searched by a Levenshtein automaton that allows each word a number of misreadings depending on
+its length, and returns all words within it. The entries are a trie of phrases over these words (:class:`Phrases`), in
+which an entry is reachable by its label, its aliases and their rotations (a name may be shown as ``Settlement - Tanker
+4``). Words run together or torn apart are searched for as one string in a trie of whole entries by the same automaton.
+
+Either trie may hold any part of the list: what a vocabulary finds is a set of hits that :func:`options` weighs once all
+parts have been asked, and what phrases find has a place in one order of preference for the whole list.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 from timeloom.llm.lookalike import CYRILLIC, CYRILLIC_AS, GREEK, GREEK_AS
+from timeloom.llm.trie import Trie
 
 # Letters that a reader takes for each other (a misreading counts half an edit), and letter pairs
 # taken for one letter.
@@ -27,11 +32,19 @@ _SAME = str.maketrans(CYRILLIC + GREEK, CYRILLIC_AS + GREEK_AS)
 _WORD = re.compile(r"[^\W_]+")
 _CLOSE = {c: "".join(p.replace(c, "", 1) for p in CONFUSED.split() if c in p) for c in set(CONFUSED) - {" "}}
 _VOWELS = re.compile(r"(?<=.)[aeiou]")
-# How the surroundings of a name look: a number of four or more digits at its end, with signs around it,
-# and a sign and a word before it.
-_CUT = re.compile(r"(\.\.+|…)[\s\W_]*$")
-_NUMBER = re.compile(r"[\s\[<(#|—:]*\d{4,}[\s\W_]*$")
-_WORD_BEFORE = re.compile(r"\s*(?:[—|:(]|\s[–-])\s*[^\W_]+[\s\W_]*$")
+
+
+@dataclass(frozen=True)
+class Surroundings:
+    """What may stand around a name without being part of it; a pattern of None takes nothing for surroundings.
+
+    ``number``: a number at the end, with the signs around it. ``word``: a sign and a word before that number.
+    ``cut``: how a name ends that was cut off.
+    """
+
+    number: str | None = r"[\s\[<(#|—:]*\d{4,}[\s\W_]*$"
+    word: str | None = r"\s*(?:[—|:(]|\s[–-])\s*[^\W_]+[\s\W_]*$"
+    cut: str | None = r"(\.\.+|…)[\s\W_]*$"
 
 
 def fold(text: str) -> str:
@@ -62,42 +75,6 @@ def one_for_pair(word: str) -> str:
     return word
 
 
-def _costs(c: str, text: str) -> list[int]:
-    """Half edits for reading ``c`` as each letter of ``text``."""
-    close = _CLOSE.get(c, "")
-    return [0 if c == y else 1 if y in close else 2 for y in text]
-
-
-def _next_row(c: str, before_c: str, text: str, costs: list[int], row: list[int], before: list[int] | None, at: int, most: int) -> tuple[list[int], int]:
-    """The automaton's next state after its ``at``-th letter ``c``, and the least distance in it. Only places within
-    reach of the diagonal are kept; ``before_c`` and ``before`` are the letter and the state two steps back."""
-    size, reach, far = len(text), most // 2, most + 1
-    low, high = max(1, at - reach), min(size, at + reach)
-    following = [far] * (size + 1)
-    least = far
-    if at <= reach:
-        least = following[0] = 2 * at
-    if low > high:
-        return following, least
-    left = following[low - 1]
-    for j in range(low, high + 1):
-        best = row[j - 1] + costs[j - 1]
-        other = row[j] + 2
-        if other < best:
-            best = other
-        left += 2
-        if left < best:
-            best = left
-        if before is not None and j > 1 and c == text[j - 2] and before_c == text[j - 1]:
-            other = before[j - 2] + 2
-            if other < best:
-                best = other
-        following[j] = left = best
-        if best < least:
-            least = best
-    return following, least
-
-
 def misreading(a: str, b: str, most: int) -> int:
     """Distance in half edits (a confused letter 1, any other edit or swap of neighbours 2); ``most`` + 1 if above.
 
@@ -135,12 +112,6 @@ def misreading(a: str, b: str, most: int) -> int:
     return min(row[size - len(a) + reach], far)
 
 
-def beginning(a: str, whole: str, most: int) -> int | None:
-    """Least distance of ``a`` to a beginning of ``whole``, or None above ``most``."""
-    found = min((misreading(a, whole[:n], most) for n in range(len(a) - 1, min(len(a) + 2, len(whole)))), default=most + 1)
-    return found if found <= most else None
-
-
 def allowed(length: int) -> int:
     """Half edits allowed in a word of this length."""
     return 0 if length < 3 else 2 if length < 5 else 3 if length < 6 else 4 if length < 8 else 5 if length < 10 else 6
@@ -203,37 +174,6 @@ def _same_heading(a: str, b: str, most: int) -> bool:
     return (s != x or t != y) and _same_words(s, t, most)
 
 
-class Trie:
-    """Strings with values; searched exactly or by a Levenshtein automaton whose states are rows of distances."""
-
-    def __init__(self) -> None:
-        self.root: dict = {}
-
-    def add(self, text: str, value) -> None:
-        node = self.root
-        for c in text:
-            node = node.setdefault(c, {})
-        node.setdefault("", []).append(value)
-
-    def within(self, text: str, most: int) -> Iterator[tuple[int, str, list]]:
-        """(distance, string, values) of all strings within ``most`` half edits of ``text``."""
-        costs: dict[str, list[int]] = {}
-        stack = [(self.root, "", list(range(0, 2 * len(text) + 1, 2)), None, 0)]
-        while stack:
-            node, path, row, before, low = stack.pop()
-            at = len(path) + 1
-            for c, child in node.items():
-                if c == "":
-                    if row[-1] <= most:
-                        yield row[-1], path, child
-                    continue
-                if c not in costs:
-                    costs[c] = _costs(c, text)
-                following, least = _next_row(c, path[-1:], text, costs[c], row, before, at, most)
-                if least <= most or low <= most:
-                    stack.append((child, path + c, following, row, least))
-
-
 def abbreviations(word: str) -> Iterator[str]:
     """Alias paths of a word: cut to four or five letters, and without its inner vowels."""
     if len(word) > 4:
@@ -245,167 +185,249 @@ def abbreviations(word: str) -> Iterator[str]:
             yield bare
 
 
-class ReferenceList:
-    """Entries with label and aliases; :meth:`find` gives all entries a name may stand for, nearest first."""
+def spoken(name: str, around: Surroundings = Surroundings()) -> str:
+    """A name as it is searched for: its words, then (after ``|``) its words without what surrounds them; a last ``…``
+    where it was cut off. Empty where it has no words."""
+    tried = [name]
+    if around.number and (bare := re.sub(around.number, "", name)) != name:
+        tried += [bare, re.sub(around.word, "", bare)] if around.word else [bare]
+    said = list(dict.fromkeys(" ".join(w) for text in tried if (w := words_of(text))))
+    if said and around.cut and re.search(around.cut, name):
+        said.append("…")
+    return "|".join(said)
 
-    def __init__(self, entries: Iterable[tuple[int, str, Iterable[str]]]) -> None:
-        self.words, self.whole = Trie(), Trie()
-        self.phrases: dict = {}
-        self.exact: dict[str, int] = {}
-        known: set[str] = set()
-        for entry, label, aliases in entries:
-            for name in (label, *aliases):
-                spoken = words_of(name)
-                if not spoken:
-                    continue
-                self.exact.setdefault("".join(spoken), entry)
-                if _is_code(spoken):
-                    continue
-                self.whole.add("".join(spoken), (entry, len(spoken)))
-                for turn in range(len(spoken)):
-                    node = self.phrases
-                    for w in spoken[turn:] + spoken[:turn]:
-                        node = node.setdefault(w, {})
-                    node.setdefault("", []).append((turn > 0, entry))
-                known.update(w for w in spoken if not w.isdigit())
-        self.known = frozenset(known)
-        self.longest_word = max(map(len, known), default=0)
-        self.longest_name = max(map(len, self.exact), default=0)
-        for w in sorted(known):
-            self.words.add(w, (w, 0))
-            for short in abbreviations(w):
-                self.words.add(short, (w, 2))
-        self._candidates: dict[tuple[str, bool], dict[str, int]] = {}
-        self._found: dict[tuple[str, ...] | str, tuple[int, int] | None] = {}
-
-    def candidates(self, word: str, hard: bool = False) -> dict[str, int]:
-        """Reference words that ``word`` may be, each with its cost; ``hard`` allows more misreadings of longer words."""
-        if word.isdigit():
-            return {word: 0}
-        key = (word, hard)
-        if key in self._candidates:
-            return self._candidates[key]
-        plain = as_letters(word)
-        if len(plain) > self.longest_word + 4:
-            return {}
-        found = {plain: 0} if plain in self.known else self._misread(plain, hard)
-        for w in self.known:
-            if w not in found and len(w) > len(plain) > 3:
-                if w.startswith(plain):  # cut at the end: longer than an abbreviation
-                    found[w] = 2
-                elif len(plain) > 4 and (d := beginning(plain, w, 2 if len(plain) < 6 else 3)) is not None:
-                    found[w] = 2 + d
-        if len(self._candidates) > 200_000:
-            self._candidates.clear()
-        self._candidates[key] = found
-        return found
 
-    def _misread(self, plain: str, hard: bool) -> dict[str, int]:
-        """Words and abbreviations near ``plain``; words clearly farther than the nearest are left out."""
-        limit = (lambda n: 6 if n > 7 else 4 if n == 5 else allowed(n)) if hard else allowed
-        full: dict[str, int] = {}
-        short: dict[str, int] = {}
-        for text, extra in ((plain, 0), (one_for_pair(plain), 1)):
-            if extra and text == plain and not any(p in plain for p in "mdw"):
+@lru_cache(maxsize=1 << 14)
+def forms_of(said: str) -> tuple[tuple[tuple[str, ...], ...], tuple[tuple[str, ...], ...], str | None]:
+    """Of a result of :func:`spoken`: its variants, its forms (variants, and each with its digits set apart), and the
+    letters of the whole name where it was cut off."""
+    parts = [tuple(p.split()) for p in said.split("|")] if said else []
+    begun = "".join(parts[0]) if parts and parts[-1] == ("…",) else None
+    variants = tuple(p for p in parts if p != ("…",))
+    return variants, tuple(f for words in variants for f in dict.fromkeys((words, split_digits(words)))), begun
+
+
+def allowed_badly(length: int) -> int:
+    """Half edits allowed in the one word of a name that may be misread badly."""
+    return 6 if length > 7 else 4 if length == 5 else allowed(length)
+
+
+KNOWN, FULL, SHORT, BEGUN, FULL_BADLY, SHORT_BADLY = range(6)
+Hit = tuple[int, str, int]  # kind, reference word, cost
+
+
+class Vocabulary:
+    """A part of the words of the reference list: a trie of words with their abbreviations as alias paths."""
+
+    def __init__(self, words: Iterable[str]) -> None:
+        self.known = frozenset(words)
+        self.trie = Trie(_CLOSE)
+        for w in self.known:
+            self.trie.add(w, (w, 0))
+            for short in abbreviations(w):
+                self.trie.add(short, (w, 2))
+
+    def search(self, words: list[str]) -> dict[str, list[Hit]]:
+        """All hits of each word: itself, words and abbreviations near it, words that begin with it or nearly so."""
+        hits: dict[str, dict[tuple[int, str], int]] = {w: {} for w in words}
+        longest = max(map(len, self.known), default=0)
+
+        def note(word: str, kind: int, reference: str, cost: int) -> None:
+            held = hits[word]
+            held[kind, reference] = min(cost, held.get((kind, reference), cost))
+
+        near = defaultdict(list)  # allowed distance -> (word, letters searched for, cost of reading them so)
+        begins = defaultdict(list)
+        for word in hits:
+            plain = as_letters(word)
+            if word.isdigit() or len(plain) > longest + 4:
                 continue
-            for d, path, values in self.words.within(text, limit(len(text) + 2)):
-                for w, shortened in values:
-                    if d <= (min(2, allowed(len(path))) if shortened else limit(len(path))):
-                        into = short if shortened else full
-                        into[w] = min(d + extra + shortened, into.get(w, 99))
+            if plain in self.known:
+                note(word, KNOWN, plain, 0)
+            if plain not in self.known or not allowed(len(plain)):
+                for text, extra in ((plain, 0), (one_for_pair(plain), 1)):
+                    if not extra or text != plain or any(p in plain for p in PAIRS_FOR_ONE.values()):
+                        near[allowed_badly(len(text) + 2)].append((word, text, extra))
+            if len(plain) > 3:
+                low, high = self.trie.continued(plain)
+                for s in self.trie.strings[low:high]:
+                    if len(s) > len(plain) and s in self.known:  # cut at the end: longer than an abbreviation
+                        note(word, BEGUN, s, 2)
+                if len(plain) > 4:
+                    begins[2 if len(plain) < 6 else 3].append((word, plain))
+        for most, asked in near.items():
+            at, strings, distances = self.trie.within_many([text for _, text, _ in asked], most)
+            for a, s, d in zip(at.tolist(), strings.tolist(), distances.tolist(), strict=True):
+                word, text, extra = asked[a]
+                path = self.trie.strings[s]
+                for w, shortened in self.trie.held[path]:
+                    few = min(2, allowed(len(path)))
+                    if d <= (few if shortened else allowed(len(path))) and d <= allowed(len(text) + 2):
+                        note(word, SHORT if shortened else FULL, w, d + extra + shortened)
+                    if d <= (few if shortened else allowed_badly(len(path))):
+                        note(word, SHORT_BADLY if shortened else FULL_BADLY, w, d + extra + shortened)
+        for most, cut in begins.items():
+            for a, low, high, d in self.trie.begun_many([plain for _, plain in cut], most):
+                word, plain = cut[a]
+                for s in self.trie.strings[low:high]:
+                    if len(s) > len(plain) and s in self.known:
+                        note(word, BEGUN, s, 2 + d)
+        return {word: [(kind, w, cost) for (kind, w), cost in held.items()] for word, held in hits.items()}
+
+
+NEAREST_MARGIN = 2  # half edits by which a word may be farther than the nearest one and still be meant
+
+
+def options(word: str, hits: Iterable[Hit], badly: bool = False) -> dict[str, int]:
+    """Reference words that ``word`` may be, each with its cost, once all parts of the vocabulary were asked: a known word is
+    never misread unless it is too short to be told from a piece of another, and words clearly farther than the nearest are
+    left out."""
+    if word.isdigit():
+        return {word: 0}
+    by_kind: dict[int, dict[str, int]] = defaultdict(dict)
+    for kind, w, cost in hits:
+        by_kind[kind][w] = min(cost, by_kind[kind].get(w, cost))
+    found = dict(by_kind[KNOWN])
+    if not found or not allowed(len(as_letters(word))):
+        full = by_kind[FULL_BADLY if badly else FULL]
+        found = by_kind[SHORT_BADLY if badly else SHORT] | found
         nearest = min(full.values(), default=0)
-        return short | {w: min(d, short.get(w, 99)) for w, d in full.items() if d <= nearest + 2}
+        for w, cost in full.items():
+            if cost <= nearest + NEAREST_MARGIN:
+                found[w] = min(cost, found.get(w, cost))
+    for w, cost in by_kind[BEGUN].items():
+        found.setdefault(w, cost)
+    return found
+
+
+# The order of searches; a find of an earlier one is preferred to all of later ones, whatever they cost.
+EXACT, WALKED, JOINED, BADLY, CONTINUED = range(5)
+PLACES = 1_000  # places of one search: forms, exact and continued ends
+
+
+class Phrases:
+    """A part of the entries of the reference list: names as phrases of words, and as one string each."""
 
-    def _walk(self, words: tuple[str, ...], hard: bool = False) -> dict[int, int]:
-        """Entries reachable by ``words``, each with its least cost. The last word may be cut anywhere; ``hard``: one word
-        may be misread badly; at last a short word may be missing at the end."""
+    def __init__(self, names: Iterable[tuple[int, tuple[str, ...]]] = ()) -> None:
+        self.whole = Trie(_CLOSE)
+        self.phrases: dict = {}
+        self.exact: dict[str, int] = {}
+        for entry, words in names:
+            text = "".join(words)
+            self.exact[text] = min(entry, self.exact.get(text, entry))
+            self.whole.add(text, (entry, len(words)))
+            for turn in range(len(words)):
+                node = self.phrases
+                for w in words[turn:] + words[:turn]:
+                    node = node.setdefault(w, {})
+                node.setdefault("", []).append((turn > 0, entry))
+
+    def find(self, asked: dict[str, dict[str, list[Hit]]]) -> Iterator[tuple[str, int, int, int]]:
+        """(said, place, cost, entry) of all entries within reach by the first search that finds any. ``asked``: results of
+        :func:`spoken`, each with the hits of its words in the whole vocabulary."""
+        open_: list[str] = []
+        for said, hits in asked.items():
+            variants, forms, _ = forms_of(said)
+            found = next(([(EXACT * PLACES + i, 0, self.exact["".join(v)])] for i, v in enumerate(variants) if "".join(v) in self.exact), None)
+            found = found or self._first(WALKED, forms, hits)
+            if found:
+                yield from ((said, *f) for f in found)
+            else:
+                open_.append(said)
+        joined = self._joined(open_)
+        for said in open_:
+            _, forms, begun = forms_of(said)
+            found = joined.get(said) or self._first(BADLY, forms, asked[said])
+            if not found and begun is not None:
+                found = [(CONTINUED * PLACES, 12, e) for e in self._begun(begun)]
+            yield from ((said, *f) for f in found)
+
+    def _first(self, search: int, forms: tuple[tuple[str, ...], ...], hits: dict[str, list[Hit]]) -> list[tuple[int, int, int]]:
+        for i, form in enumerate(forms):
+            for place, ends in enumerate(self._walk(form, hits, search == BADLY)):
+                if ends:
+                    return [(search * PLACES + 2 * i + place, c, e) for e, c in ends.items()]
+        return []
+
+    def _walk(self, words: tuple[str, ...], hits: dict[str, list[Hit]], badly: bool) -> Iterator[dict[int, int]]:
+        """Entries reachable by ``words``, each with its least cost. The last word may be cut anywhere; ``badly``: one word
+        may be misread badly; and then again: a short word may be missing at the end."""
         states = [(self.phrases, 0, False)]
         for i, w in enumerate(words):
-            options = self.candidates(w)
-            following = [(node[o], cost + c, used) for node, cost, used in states for o, c in options.items() if o in node]
-            if hard:
-                more = self.candidates(w, True)
-                following += [(node[o], cost + c, True) for node, cost, used in states if not used for o, c in more.items() if o in node and o not in options]
+            likely = options(w, hits.get(w, ()))
+            following = [(node[o], cost + c, used) for node, cost, used in states for o, c in likely.items() if o in node]
+            if badly:
+                more = options(w, hits.get(w, ()), True)
+                following += [(node[o], cost + c, True) for node, cost, used in states if not used for o, c in more.items() if o in node and o not in likely]
             if i == len(words) - 1 and i and w.isalpha():
-                following += [(child, cost + 3, used) for node, cost, used in states for o, child in node.items() if o and o not in options and o.startswith(w)]
+                following += [(child, cost + 3, used) for node, cost, used in states for o, child in node.items() if o and o not in likely and o.startswith(w)]
             states = following
             if not states:
-                return {}
-        ends = [(node, cost) for node, cost, _ in states]
-        if hard and not any("" in node for node, _ in ends):
-            ends = [(child, cost + 4) for node, cost in ends for o, child in node.items() if o and len(o) <= 3 and not o.isdigit()]
+                return
+        yield self._ends([(node, cost) for node, cost, _ in states])
+        if badly:
+            yield self._ends([(child, cost + 4) for node, cost, _ in states for o, child in node.items() if o and len(o) <= 3 and not o.isdigit()])
+
+    @staticmethod
+    def _ends(states: list[tuple[dict, int]]) -> dict[int, int]:
         found: dict[int, int] = {}
-        for node, cost in ends:
+        for node, cost in states:
             for turned, entry in node.get("", ()):
                 c = 2 * cost + turned
                 found[entry] = min(c, found.get(entry, c))
         return found
 
-    def _joined(self, words: tuple[str, ...]) -> dict[int, int]:
+    def _joined(self, asked: list[str]) -> dict[str, list[tuple[int, int, int]]]:
         """Entries near the words written as one, with the same numbers in them, but divided otherwise."""
-        text = "".join(map(as_letters, words))
-        if len(text) > self.longest_name + 4:
-            return {}
-        most = min(4, len(text) // 6 * 2)
-        numbers = re.findall(r"\d+", text)
-        found: dict[int, int] = {}
-        for d, path, values in self.whole.within(text, most):
-            if re.findall(r"\d+", path) == numbers:
-                for entry, n in values:
-                    if n != len(words):  # else the words themselves are not near enough
-                        found[entry] = min(2 * d, found.get(entry, 2 * d))
-        return found
-
-    def find(self, name: str) -> list[tuple[int, int]]:
-        """(cost, entry) of all entries within reach of ``name``, nearest first; empty where it stands for none."""
-        tried = [name]
-        if (bare := _NUMBER.sub("", name)) != name:
-            tried += [bare, _WORD_BEFORE.sub("", bare)]
-        spoken = [w for text in dict.fromkeys(tried) if (w := words_of(text))]
-        for words in spoken:
-            if (said := self.exact.get("".join(words))) is not None:
-                return [(0, said)]
-        forms = [f for words in spoken if not _is_code(words) for f in dict.fromkeys((words, split_digits(words)))]
-        for search in (self._walk, self._joined, lambda f: self._walk(f, True)):
-            for form in forms:
-                if found := search(form):
-                    return sorted((c, e) for e, c in found.items())
-        return self._begun(words_of(name)) if _CUT.search(name) else []
-
-    def _begun(self, words: tuple[str, ...]) -> list[tuple[int, int]]:
-        """The entry that begins with the words of a name cut off with dots, if it is the only one."""
-        node = self.whole.root
-        for c in "".join(words):
-            if c not in node:
-                return []
-            node = node[c]
-        found, stack = set(), [node]
-        while stack and len(found) < 2:
-            for c, child in stack.pop().items():
-                if c == "":
-                    found.update(entry for entry, _ in child)
-                else:
-                    stack.append(child)
-        return [(12, e) for e in found] if len(found) == 1 else []
-
-    def best(self, name: str) -> tuple[int, int] | None:
-        """(cost, entry) of the nearest entry, the smallest of equally near ones, or None."""
-        if len(name) > LONG:
-            return next(iter(self.find(name)), None)
-        key = words_of(name) if not _NUMBER.search(name) and not _CUT.search(name) else name
-        if key not in self._found:
-            if len(self._found) > 200_000:
-                self._found.clear()
-            found = self.find(name)
-            self._found[key] = found[0] if found else None
-        return self._found[key]
-
-    def match(self, name: str) -> int:
-        """The entry ``name`` stands for, or -1."""
-        found = self.best(name)
-        return found[1] if found else -1
+        longest = max(map(len, self.exact), default=0)
+        texts = defaultdict(list)
+        for said in asked:
+            for i, form in enumerate(forms_of(said)[1]):
+                text = "".join(map(as_letters, form))
+                if len(text) <= longest + 4:
+                    texts[min(4, len(text) // 6 * 2)].append((said, i, len(form), text))
+        found: dict[str, dict[tuple[int, int], int]] = defaultdict(dict)
+        for most, rows in texts.items():
+            at, strings, distances = self.whole.within_many([r[3] for r in rows], most)
+            for a, s, d in zip(at.tolist(), strings.tolist(), distances.tolist(), strict=True):
+                said, i, parts, text = rows[a]
+                path = self.whole.strings[s]
+                if re.findall(r"\d+", path) == re.findall(r"\d+", text):
+                    for entry, n in self.whole.held[path]:
+                        if n != parts:  # else the words themselves are not near enough
+                            held = found[said]
+                            held[i, entry] = min(2 * d, held.get((i, entry), 2 * d))
+        best = {said: min(i for i, _ in held) for said, held in found.items()}
+        return {said: [(JOINED * PLACES + i, c, e) for (i, e), c in held.items() if i == best[said]] for said, held in found.items()}
+
+    def _begun(self, letters: str) -> list[int]:
+        """The entry that begins with these letters; the least and the greatest where there are several."""
+        low, high = self.whole.continued(letters)
+        found = {e for s in self.whole.strings[low:high] for e, _ in self.whole.held[s]}
+        return sorted({min(found), max(found)}) if found else []
+
+
+def chosen(found: Iterable[tuple[int, int, int]]) -> tuple[int, int] | None:
+    """(cost, entry) of (place, cost, entry) over the whole list: the first place, then the nearest, then the smallest entry;
+    None where a name that was cut off may be continued by several."""
+    found = list(found)
+    if not found:
+        return None
+    place, cost, entry = min(found)
+    return None if place >= CONTINUED * PLACES and len({e for _, _, e in found}) > 1 else (cost, entry)
+
+
+class ReferenceList(Phrases):
+    """A list small enough for one task; ``entries``: (entry, label, aliases)."""
 
+    def __init__(self, entries: Iterable[tuple[int, str, Iterable[str]]]) -> None:
+        names = [(entry, words) for entry, label, aliases in entries for name in (label, *aliases) if (words := words_of(name))]
+        super().__init__(names)
+        self.vocabulary = Vocabulary({w for _, words in names for w in words if not w.isdigit()})
 
-def _is_code(words: tuple[str, ...]) -> bool:
-    """Two letters and three digits: an identifier, which is never misread into another."""
-    return re.fullmatch(r"[a-z]{2}\d{3}", "".join(words)) is not None
+    def match(self, name: str, around: Surroundings = Surroundings()) -> int:
+        """The entry ``name`` stands for, or -1."""
+        said = spoken(name, around)
+        hits = self.vocabulary.search([w for form in forms_of(said)[1] for w in form])
+        best = chosen(f[1:] for f in self.find({said: hits})) if said else None
+        return best[1] if best else -1

@@ -32,6 +32,11 @@ def p2_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groupBy("name").agg(F.count("*").alias("readings"), F.min("reading_id").alias("first_reading_id"))
 
 
+def p2_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every distinct name as it is searched for, with all entries within reach and their cost."""
+    return matching.name_candidates(_table(spark, sf_dir, "readings"), _table(spark, sf_dir, "inventory_list"), "reading_id", "name")
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     found, _ = runs.collapse(_table(spark, sf_dir, "screens"))
     return found.select(F.col("entity").alias("slug"), F.col("first_id").alias("first_screen_id"), F.col("last_id").alias("last_screen_id"))
@@ -112,7 +117,7 @@ def p9_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (p2_found, p2_unmatched, p4_found, p4_runs, p5_found, p5_distances, p6_found, p6_records, p7_ids, p7_source_tokens, p8_mixture, p8_shares, p9_found, p9_classes)
+    found = (p2_found, p2_unmatched, p2_candidates, p4_found, p4_runs, p5_found, p5_distances, p6_found, p6_records, p7_ids, p7_source_tokens, p8_mixture, p8_shares, p9_found, p9_classes)
     return {f.__name__: f for f in found}
 
 
