@@ -18,13 +18,13 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from timeloom.session import materialise, shuffle_partitions
+from timeloom.session import in_partitions, shuffle_partitions
 
 
 def range_sorted(df: DataFrame, *order: str | Column, partitions: int | None = None) -> DataFrame:
     """``df`` range-partitioned and sorted by ``order``, materialised so that later jobs see the same partitions."""
     n = partitions or shuffle_partitions(df.sparkSession)
-    return materialise(df.repartitionByRange(n, *order).sortWithinPartitions(*order))
+    return in_partitions(df.repartitionByRange(n, *order).sortWithinPartitions(*order))
 
 
 def prefix_scan(items: list[Any], combine: Callable[[Any, Any], Any]) -> list[Any]:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,7 +43,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """``df`` written once to the shared checkpoint folder; survives the loss of executors."""
+    """``df`` written once, as a table of compressed columns in the shared checkpoint folder; survives the loss of executors."""
+    path = f"{checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def in_partitions(df: DataFrame) -> DataFrame:
+    """Like :func:`materialise`, but later jobs see the same partitions with their rows in the same order."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint()
 
