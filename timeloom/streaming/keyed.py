@@ -47,37 +47,49 @@ def last_kept_stream(stream: DataFrame, key: str, order: str, band: str, full: s
 
 
 def interval_stream(stream: DataFrame, entity: str, start: str, end: str, horizon: int) -> DataFrame:
-    """Continuous periods as they change: (entity, start, end, closed). Each batch is inserted into the entity's ordered map
-    of disjoint intervals; a period that ends more than ``horizon`` before the latest start is closed, sent once more and
-    forgotten. An interval that comes later than that opens a period of its own."""
+    """Continuous periods and the gaps between them as they change: (entity, kind, start, end, closed, gone).
+
+    Each interval is inserted into the entity's ordered map, which merges periods and updates gaps; what a batch has changed
+    is sent, with ``gone`` for a period or gap that was sent before and holds no more. A period that ends more than ``horizon``
+    before the latest start is closed: sent once more with the gap before it, and forgotten but for its end. An interval that
+    reaches into what is closed is sent as kind ``late`` and changes nothing.
+    """
 
     def step(name: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        starts, ends, latest, edge = state.get if state.exists else ([], [], -(1 << 62), None)
         held = DisjointIntervals()
-        latest = -(1 << 62)
-        if state.exists:
-            starts, ends, latest = state.get
-            held.starts, held.ends = list(map(int, starts)), list(map(int, ends))
-        touched: list[tuple[int, int]] = []
+        for s, e in zip(starts, ends, strict=True):
+            held.insert(int(s), int(e))
+
+        def present() -> set[tuple[str, int, int]]:
+            first = held.bottoms[:1]
+            gaps = [*held.gaps(), *((edge, f) for f in first if edge is not None)]
+            return {("period", *p) for p in held.periods()} | {("gap", *g) for g in gaps}
+
+        before, out = present(), []
         for part in parts:
             for s, e in zip(part[start], part[end], strict=True):
-                if pd.notna(s) and pd.notna(e) and s <= e:
+                if pd.isna(s) or pd.isna(e) or s > e:
+                    continue
+                if edge is not None and s <= edge:
+                    out.append(("late", int(s), int(e), True, False))
+                else:
                     held.insert(int(s), int(e))
-                    touched.append((int(s), int(e)))
                     latest = max(latest, int(s))
-        done = [i for i, e in enumerate(held.ends) if e < latest - horizon]
-        out = [(name[0], held.starts[i], held.ends[i], True) for i in done]
-        gone = set(done)
-        for i in range(len(held.starts)):
-            if i not in gone and any(s <= held.ends[i] and e >= held.starts[i] for s, e in touched):
-                out.append((name[0], held.starts[i], held.ends[i], False))
-        keep = [i for i in range(len(held.starts)) if i not in gone]
-        state.update(([held.starts[i] for i in keep], [held.ends[i] for i in keep], latest))
+        now = present()
+        out += [(*p, False, True) for p in sorted(before - now)] + [(*p, False, False) for p in sorted(now - before)]
+        periods = held.periods()
+        done = sum(e < latest - horizon for _, e in periods)
+        for s, e in periods[:done]:
+            out += [("gap", edge, s, True, False)] * (edge is not None) + [("period", s, e, True, False)]
+            edge = e
+        state.update(([s for s, _ in periods[done:]], [e for _, e in periods[done:]], latest, edge))
         if out:
-            yield pd.DataFrame(out, columns=["k", "s", "e", "closed"])
+            yield pd.DataFrame([(name[0], *row) for row in out], columns=["k", "kind", "s", "e", "closed", "gone"])
 
     rows = stream.select(F.col(entity).alias("k"), F.col(start).cast("bigint").alias(start), F.col(end).cast("bigint").alias(end))
     made = rows.groupBy("k").applyInPandasWithState(
-        step, "k string, s bigint, e bigint, closed boolean", "starts array<bigint>, ends array<bigint>, latest bigint", "update", GroupStateTimeout.NoTimeout
+        step, "k string, kind string, s bigint, e bigint, closed boolean, gone boolean", "starts array<bigint>, ends array<bigint>, latest bigint, edge bigint", "update", GroupStateTimeout.NoTimeout
     )
     return made.withColumnsRenamed({"k": entity, "s": start, "e": end})
 
