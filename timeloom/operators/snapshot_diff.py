@@ -7,7 +7,7 @@ smallest row id among its copies. Two uses:
   key), so that a hot entity is spread over all buckets; a task reads its bucket snapshot by snapshot, probes the index
   of the last one with the rows of the next, and swaps. It holds one entity's share of two snapshots at a time.
 * :class:`SnapshotIndex` keeps the index of the last snapshot in a bucketed table between deliveries: ``probe`` joins
-  a new delivery with the buckets it touches, ``swap`` puts its index in place of the old one.
+  a new delivery with the buckets it touches, ``swap`` puts its index in place of the old one in these.
 
 Old values are fetched (:func:`fetch_values`) only for the rows found changed.
 
@@ -24,7 +24,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from timeloom.operators.manifest import must_be_free, read_manifest, write_manifest
+from timeloom.operators.buckets import BucketStore
+from timeloom.operators.manifest import must_be_free
 from timeloom.operators.ordered import join_unique
 from timeloom.session import materialise, shuffle_partitions
 
@@ -32,8 +33,8 @@ CHANGES = "entity string, key string, change string, row_id bigint, old_row_id b
 
 
 def value_hash(*values: Column) -> Column:
-    """128-bit hash of string values; null differs from every string."""
-    return F.md5(F.concat_ws("\x01", *(F.coalesce(v, F.lit("\x00")) for v in values)))
+    """128-bit hash of string values, 16 bytes; null differs from every string."""
+    return F.unhex(F.md5(F.concat_ws("\x01", *(F.coalesce(v, F.lit("\x00")) for v in values))))
 
 
 def snapshot_index(rows: DataFrame, entity: Column, snapshot: Column, key: Column, row_id: Column, digest: Column, label: Column | None = None) -> DataFrame:
@@ -116,39 +117,34 @@ def fetch_values(changes: DataFrame, rows: DataFrame, row_id: str, *values: str)
     return changes.join(old, "old_row_id", "left").join(new, "new_row_id", "left")
 
 
-class SnapshotIndex:
-    """The index of the last snapshot of every entity, kept as a table in buckets of (entity, key).
+class SnapshotIndex(BucketStore):
+    """The index of the last snapshot of every entity, kept as a table in buckets of entities.
 
-    ``path`` must be shared by all executors. Two generations of the table exist while a swap is made, so that a
-    failed swap leaves the old one in place. A manifest beside them says which one holds; an index opened on a folder
-    that has one goes on from there, with the buckets it was made with.
+    A delivery touches the buckets of its entities only: ``probe`` reads these, ``swap`` writes these. Within a bucket rows are
+    spread over files by their key, so that a large entity is not one task's work.
     """
 
-    SCHEMA = "entity string, key string, snapshot timestamp, row_id bigint, digest string, bucket int"
+    SCHEMA = "entity string, key string, snapshot timestamp, row_id bigint, digest binary"
+    FEW = 100_000  # entities of a delivery that are broadcast; more are joined by a shuffle
 
     def __init__(self, spark: SparkSession, path: str, buckets: int = 64) -> None:
-        held = read_manifest(spark, path) or {"generation": 0, "buckets": buckets}
-        self.spark, self.path, self.buckets, self.generation = spark, path, held["buckets"], held["generation"]
+        super().__init__(spark, path, self.SCHEMA, buckets)
 
-    def _table(self) -> DataFrame:
-        if not self.generation:
-            return self.spark.createDataFrame([], self.SCHEMA)
-        return self.spark.read.schema(self.SCHEMA).parquet(f"{self.path}/g{self.generation}")
-
-    def _bucketed(self, index: DataFrame) -> DataFrame:
-        bucket = F.pmod(F.xxhash64("entity", "key"), F.lit(self.buckets)).cast("int")
-        return index.select("entity", "key", F.col("snapshot").cast("timestamp").alias("snapshot"), "row_id", "digest", bucket.alias("bucket"))
+    def _touched(self, index: DataFrame) -> tuple[DataFrame, list[int]]:
+        """Entities of a delivery with their number of rows, and their buckets (at most as many as the store has)."""
+        arrived = materialise(index.groupBy("entity").agg(F.count("*").alias("new_n")))
+        return arrived, [r[0] for r in arrived.select(self.bucket("entity")).distinct().collect()]
 
     def probe(self, index: DataFrame) -> DataFrame:
         """Changes from the stored snapshots to ``index``, which holds one whole new snapshot of some entities."""
-        new, stored = self._bucketed(index), self._table()
-        sizes = stored.groupBy("entity").agg(F.count("*").alias("old_n")).join(new.groupBy("entity").agg(F.count("*").alias("new_n")), "entity")
-        sizes = materialise(sizes)  # entities that are stored and have arrived; the others have no change
-        old_total, new_total = sizes.agg(F.sum("old_n"), F.sum("new_n")).first()
+        arrived, touched = self._touched(index)
+        stored = self.read(touched)
+        sizes = materialise(stored.groupBy("entity").agg(F.count("*").alias("old_n")).join(arrived, "entity"))
+        old_total, new_total = sizes.agg(F.sum("old_n"), F.sum("new_n")).first()  # entities not stored before have no change
         old = join_unique(stored, sizes.select("entity", "old_n"), "entity", "old_n", old_total or 0)
-        new = join_unique(new, sizes.select("entity", "new_n"), "entity", "new_n", new_total or 0)
+        new = join_unique(index, sizes.select("entity", "new_n"), "entity", "new_n", new_total or 0)
         n, o = new.alias("n"), old.alias("o")
-        same = (F.col("n.bucket") == F.col("o.bucket")) & (F.col("n.entity") == F.col("o.entity")) & (F.col("n.key") == F.col("o.key"))
+        same = (F.col("n.key") == F.col("o.key")) & (F.col("n.entity") == F.col("o.entity"))
         change = (
             F.when(F.col("o.row_id").isNull(), "added").when(F.col("n.row_id").isNull(), "removed")
             .when(F.col("n.digest") != F.col("o.digest"), "changed")
@@ -161,10 +157,10 @@ class SnapshotIndex:
     def swap(self, index: DataFrame) -> None:
         """Store ``index`` in place of the stored snapshots of its entities."""
         must_be_free(self.spark, self.path, self.generation + 1)
-        arrived = index.select("entity").distinct()
-        stored = self._table()
-        kept = stored.join(arrived, "entity", "left_anti")
-        following = kept.unionByName(self._bucketed(index))
-        following.repartition("bucket").write.partitionBy("bucket").mode("overwrite").parquet(f"{self.path}/g{self.generation + 1}")
-        write_manifest(self.spark, self.path, self.generation + 1, buckets=self.buckets)
-        self.generation += 1
+        arrived, touched = self._touched(index)
+        count, size = arrived.agg(F.count("*"), F.coalesce(F.sum("new_n"), F.lit(0))).first()
+        whose = arrived.select("entity")
+        kept = self.read(touched).join(F.broadcast(whose) if count <= self.FEW else whose, "entity", "left_anti")
+        new = index.select("entity", "key", F.col("snapshot").cast("timestamp").alias("snapshot"), "row_id", "digest")
+        self.rows += size
+        self.replace(kept.select(*new.columns).unionByName(new), touched, self.rows * len(touched) // self.buckets + size, "key", "entity")
