@@ -17,9 +17,10 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from timeloom.operators.manifest import must_be_free, read_manifest, write_manifest
+from timeloom.operators.buckets import BucketStore
+from timeloom.operators.manifest import must_be_free
 from timeloom.operators.ordered import join_unique
-from timeloom.session import checkpoint_dir, materialise
+from timeloom.session import checkpoint_dir, materialise, shuffle_partitions
 
 NULL, FIELD, ITEM = "\x00", "\x01", "\x02"
 IDENTITY_FIELDS = "record string, module string, tabs array<string>, section string, dialog string, description string, unread string"
@@ -49,66 +50,48 @@ def flat_key(table: str, *columns: str) -> Column:
     return canonical_key(F.lit(table), *(bare(F.col(f"`{c}`")) for c in columns))
 
 
-class Ledger:
+PER_BUCKET = 1_000_000  # keys; a ledger that holds four times as many is given more buckets
+
+
+class Ledger(BucketStore):
     """Counts and earliest ids by canonical key, kept in buckets under ``path`` (shared by all executors).
 
-    A manifest says in which generation each bucket was last written; a ledger opened on a folder that has one goes on from
-    there, with the buckets it was made with.
+    A ledger opened on a folder that has one goes on from there. The number of buckets follows from the number of keys,
+    unless ``buckets`` says it.
     """
 
-    SCHEMA = "key binary, n bigint, first_id bigint, bucket int"
+    SCHEMA = "key binary, n bigint, first_id bigint"
 
     def __init__(self, spark: SparkSession, path: str | None = None, buckets: int | None = None) -> None:
-        self.spark = spark
-        self.path = path or f"{checkpoint_dir(spark)}/ledger-{uuid.uuid4().hex}"
-        held = read_manifest(spark, self.path) or {"generation": 0, "buckets": buckets or max(8, int(spark.conf.get("spark.sql.shuffle.partitions"))), "written": {}}
-        self.buckets, self.generation = held["buckets"], held["generation"]
-        self.written: dict[int, int] = {int(b): g for b, g in held["written"].items()}  # bucket -> its present generation
-
-    @property
-    def paths(self) -> dict[int, str]:
-        """Bucket -> folder of its present generation."""
-        return {b: f"{self.path}/g{g}" for b, g in self.written.items()}
-
-    def read(self, buckets: list[int] | None = None) -> DataFrame:
-        paths = self.paths
-        folders = sorted({paths[b] for b in (buckets if buckets is not None else list(paths)) if b in paths})
-        parts = [
-            self.spark.read.schema(self.SCHEMA).parquet(folder).filter(F.col("bucket").isin([b for b in paths if paths[b] == folder and (buckets is None or b in buckets)]))
-            for folder in folders
-        ]
-        out = self.spark.createDataFrame([], self.SCHEMA)
-        for part in parts:
-            out = out.unionByName(part)
-        return out
+        super().__init__(spark, path or f"{checkpoint_dir(spark)}/ledger-{uuid.uuid4().hex}", self.SCHEMA, buckets)
 
     def add(self, rows: DataFrame, key: str = "key", row_id: str = "id") -> None:
         """Count a batch of rows (key, id) into the ledger."""
-        bucket = F.pmod(F.xxhash64("key"), F.lit(self.buckets)).cast("int")
-        batch = rows.select(F.col(key).alias("key"), F.col(row_id).cast("bigint").alias("id")).filter("key is not null and id is not null")
-        batch = batch.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("first_id")).withColumn("bucket", bucket)
         must_be_free(self.spark, self.path, self.generation + 1)
-        following = f"{self.path}/g{self.generation + 1}"
-        if not self.written:  # nothing to join with yet
-            merged = batch
+        batch = rows.select(F.col(key).alias("key"), F.col(row_id).cast("bigint").alias("id")).filter("key is not null and id is not null")
+        batch = materialise(batch.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("first_id")))
+        size = batch.count()
+        self.rows += size
+        wanted = -(-self.rows // PER_BUCKET)
+        touched = None
+        if self.buckets is None:
+            self.buckets = max(min(shuffle_partitions(self.spark), size), wanted, 1)
+        elif self.rows > 4 * PER_BUCKET * self.buckets:
+            self.buckets = wanted  # all keys move
         else:
-            batch = materialise(batch)
-            touched = [r.bucket for r in batch.select("bucket").distinct().collect()]  # at most the number of buckets
-            old = self.read(touched).select("bucket", "key", F.col("n").alias("old_n"), F.col("first_id").alias("old_first"))
-            merged = batch.join(old, ["bucket", "key"], "full_outer").select(
-                "key", (F.coalesce("n", F.lit(0)) + F.coalesce("old_n", F.lit(0))).alias("n"), F.least("first_id", "old_first").alias("first_id"), "bucket"
+            touched = [r[0] for r in batch.select(self.bucket("key")).distinct().collect()]  # at most the number of buckets
+        merged = batch
+        if self.written:
+            old = self.read(touched).select("key", F.col("n").alias("old_n"), F.col("first_id").alias("old_first"))
+            merged = batch.join(old, "key", "full_outer").select(
+                "key", (F.coalesce("n", F.lit(0)) + F.coalesce("old_n", F.lit(0))).alias("n"), F.least("first_id", "old_first").alias("first_id")
             )
-        merged.select("key", "n", "first_id", "bucket").repartition(F.col("bucket")).write.partitionBy("bucket").mode("overwrite").parquet(following)
-        written = self.spark.read.schema(self.SCHEMA).parquet(following).select("bucket").distinct().collect()
-        following_written = self.written | {r.bucket: self.generation + 1 for r in written}
-        write_manifest(self.spark, self.path, self.generation + 1, buckets=self.buckets, written=following_written)
-        self.written = following_written
-        self.generation += 1
+        self.replace(merged, touched, size, "key", "key")
 
 
-def copies(rows: DataFrame, ledger: DataFrame) -> DataFrame:
-    """(key, first_id, copy_id): one row for each further row of a key that the ledger counts twice or more."""
+def copies(rows: DataFrame, ledger: DataFrame, *also: str) -> DataFrame:
+    """(key, *also, first_id, copy_id): one row for each further row of a key that the ledger counts twice or more."""
     repeated = materialise(ledger.filter("n > 1").select("key", "n", "first_id"))
     total = repeated.agg(F.sum("n")).first()[0] or 0
-    found = join_unique(rows.select("key", "id"), repeated, "key", "n", total)
-    return found.filter("id <> first_id").select("key", "first_id", F.col("id").alias("copy_id")).distinct()
+    found = join_unique(rows.select("key", "id", *also), repeated, "key", "n", total)
+    return found.filter("id <> first_id").select("key", *also, "first_id", F.col("id").alias("copy_id")).distinct()

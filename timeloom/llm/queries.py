@@ -63,32 +63,38 @@ def p5_distances(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _ledger(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], ledger.Ledger]:
-    """Keyed rows of both tables and the ledger to which they were added, one table after the other."""
+DELIVERIES = 2  # batches in which the rows are added to the ledger, one after the other in the order of their ids
+
+
+def _ledger(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, ledger.Ledger]:
+    """Keyed rows of both tables and the ledger to which they were added delivery by delivery, opened anew for each."""
     tables = {
         "identities": (F.col("identity_id"), ledger.identity_key("identities")),
         "fixture_screens": (F.col("fixture_id"), ledger.flat_key("fixture_screens", "slug", "t", "name", "module", "bucket", "note")),
     }
+    parts = [_table(spark, sf_dir, name).select(F.lit(name).alias("table_name"), key.alias("key"), row_id.alias("id")) for name, (row_id, key) in tables.items()]
+    keyed = materialise(parts[0].unionByName(parts[1]))
+    last = {r.table_name: r.last for r in keyed.groupBy("table_name").agg(F.max("id").alias("last")).collect()}
+    number = F.lit(0)
+    for name, most in last.items():
+        number = F.when(F.col("table_name") == name, F.floor(F.col("id") * DELIVERIES / F.lit((most or 0) + 1))).otherwise(number)
     kept = ledger.Ledger(spark)
-    keyed = {}
-    for name, (row_id, key) in tables.items():
-        keyed[name] = materialise(_table(spark, sf_dir, name).select(key.alias("key"), row_id.alias("id")))
-        kept.add(keyed[name])
+    for n in range(DELIVERIES):
+        kept = ledger.Ledger(spark, kept.path)
+        kept.add(keyed.filter(F.greatest(number, F.lit(0)) == n))
     return keyed, kept
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     keyed, kept = _ledger(spark, sf_dir)
-    parts = [ledger.copies(rows, kept.read()).select(F.lit(name).alias("table_name"), "first_id", "copy_id") for name, rows in keyed.items()]
-    return parts[0].unionByName(parts[1])
+    return ledger.copies(keyed, kept.read(), "table_name").select("table_name", "first_id", "copy_id")
 
 
 def p6_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every record once: its smallest row id and its number of copies."""
     keyed, kept = _ledger(spark, sf_dir)
-    held = kept.read().select("key", "first_id", "n")
-    parts = [rows.join(held.withColumnRenamed("first_id", "id"), ["key", "id"]).select(F.lit(name).alias("table_name"), F.col("id").alias("first_id"), F.col("n").alias("copies")).distinct() for name, rows in keyed.items()]
-    return parts[0].unionByName(parts[1])
+    firsts = kept.read().select("key", F.col("first_id").alias("id"), F.col("n").alias("copies"))
+    return keyed.join(firsts, ["key", "id"]).select("table_name", F.col("id").alias("first_id"), "copies").distinct()
 
 
 def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
