@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from timeloom.functions.labels import normalise_label, normalise_label_text
-from timeloom.functions.similarity import Nearest
-from timeloom.session import shuffle_partitions
+from timeloom.functions.similarity import nearest_of
+from timeloom.operators.blocks import in_blocks
+from timeloom.session import materialise
 
-BLOCK = 50_000  # names of the reference list that are sent to the tasks at once
+BLOCK = 20_000  # names of the reference list in one block
 
 
 def reference_names(entries: DataFrame, ord_: str, label: str, aliases: str) -> DataFrame:
@@ -48,32 +48,25 @@ def match_nearest(reads: DataFrame, names: DataFrame, norm: str = "norm", block:
     """(norm, score, entry_ord, label) for each distinct name in ``reads``: the entry with the most similar name, the
     earliest of equally similar ones, with its score above 0; a name like none has no row.
 
-    The reference list goes to the tasks in blocks of bounded size; every distinct name is scored against every block.
+    Any two names with a letter in common are somewhat alike, so no join finds the nearest one: the distinct names are held
+    against the reference list in blocks of bounded size, where bounds leave few pairs to be scored.
     """
-    out = reads.select(F.col(norm).alias("norm")).filter("norm <> ''").distinct().repartition(shuffle_partitions(reads.sparkSession))  # scoring is the cost
-    out = out.select("norm", F.lit(0.0).alias("score"), F.lit(None).cast("bigint").alias("entry_ord"), F.lit(None).cast("string").alias("label"))
-    held: list[tuple[str, int, str]] = []
-    kinds = [pa.string(), pa.float64(), pa.int64(), pa.string()]
-
-    def scored(df: DataFrame, part: list[tuple[str, int, str]]) -> DataFrame:
-        shared = df.sparkSession.sparkContext.broadcast(part)
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            nearest = Nearest([other for other, _, _ in shared.value])
-            for batch in batches:
-                best = []
-                for name, score, entry, label in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                    score, place = nearest.find(name, score)
-                    best.append((name, score, entry, label) if place is None else (name, score, *shared.value[place][1:]))
-                yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*best, strict=True), kinds, strict=True)] if best else [pa.array([], k) for k in kinds], names=["norm", "score", "entry_ord", "label"])
-
-        return df.mapInArrow(run, "norm string, score double, entry_ord bigint, label string")
-
-    for r in names.orderBy("entry_ord", "name_ord").toLocalIterator():
-        held.append((r.norm, r.entry_ord, r.label))
-        if len(held) == block:
-            out, held = scored(out, held), []
-    return (scored(out, held) if held else out).filter("score > 0")
+    asked = materialise(reads.select(F.col(norm).alias("norm")).filter("norm <> ''").distinct())
+    listed = materialise(names.filter("norm <> ''").groupBy("norm").agg(F.min(F.struct("entry_ord", "name_ord", "label")).alias("f")).select("norm", "f.*"))
+
+    def run(own: pa.Table, theirs: pa.Table) -> pa.Table:
+        places = list(zip(theirs.column("entry_ord").to_pylist(), theirs.column("name_ord").to_pylist(), strict=True))
+        order = np.empty(len(places), np.int64)
+        order[sorted(range(len(places)), key=lambda i: (places[i][0] is None, places[i]))] = np.arange(len(places))
+        score, at = nearest_of(own.column("norm").to_pylist(), theirs.column("norm").to_pylist(), order)
+        found = np.flatnonzero(at >= 0)
+        near = theirs.take(pa.array(at[found]))
+        return pa.table({"norm": own.column("norm").take(pa.array(found)), "score": pa.array(score[found]), **{c: near.column(c) for c in ("entry_ord", "name_ord", "label")}})
+
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in listed.schema.fields if f.name != "norm")
+    scored = in_blocks(asked, listed, run, f"norm string, score double, {kinds}", block)
+    best = scored.groupBy("norm").agg(F.min(F.struct((-F.col("score")).alias("minus"), "entry_ord", "name_ord", "label")).alias("b"))
+    return best.select("norm", (-F.col("b.minus")).alias("score"), "b.entry_ord", "b.label")
 
 
 def match_cascade(reads: DataFrame, names: DataFrame, corrections: dict[str, str], threshold: float, norm: str = "norm") -> DataFrame:

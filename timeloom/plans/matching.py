@@ -134,11 +134,33 @@ def norm_sql(column: str) -> str:
 _NAMES = f"""names AS (SELECT * FROM (
         SELECT entry_id AS entry_ord, label, 0 AS name_ord, {norm_sql("label")} AS norm FROM inventory_list
         UNION ALL SELECT entry_id, label, i, {norm_sql("aliases[i]")} FROM inventory_list, range(1, len(coalesce(aliases, [])) + 1) r(i)) WHERE norm <> ''),
-    firsts AS (SELECT norm, entry_ord, label FROM names QUALIFY row_number() OVER (PARTITION BY norm ORDER BY entry_ord, name_ord) = 1),
+    firsts AS (SELECT norm, entry_ord, name_ord, label FROM names QUALIFY row_number() OVER (PARTITION BY norm ORDER BY entry_ord, name_ord) = 1),
     reads AS (SELECT reading_id, {norm_sql("name")} AS norm FROM readings)"""
+# every distinct name against every name of the list
+_SCORES = f"""asked AS (SELECT DISTINCT {{0}} AS norm FROM {{1}} WHERE {{0}} <> ''), pairs AS (
+        SELECT row_number() OVER () AS id, a.norm AS a, f.norm AS b, f.entry_ord, f.name_ord, f.label FROM asked a CROSS JOIN firsts f), {SCORED},
+    near AS (SELECT a AS norm, score, entry_ord, label FROM pairs JOIN scored USING (id) WHERE score > 0
+        QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, entry_ord, name_ord) = 1)"""
 _FIXED = "CASE r.norm " + " ".join(f"WHEN '{k.lower()}' THEN '{v.lower()}'" for k, v in CORRECTIONS.items()) + " ELSE r.norm END"
 
+_WORDS_OF = "list_distinct(string_split({0}, ' '))"
+_CASCADE = f"""{_NAMES}, told AS (SELECT reading_id, r.norm, {_FIXED} AS corrected FROM reads r),
+    twice AS (SELECT t.*, e.entry_ord AS e_ord, c.entry_ord AS c_ord FROM told t LEFT JOIN firsts e ON e.norm = t.norm LEFT JOIN firsts c ON c.norm = t.corrected),
+    {_SCORES.format("corrected", "(SELECT * FROM twice WHERE e_ord IS NULL AND c_ord IS NULL)")},
+    seen AS (SELECT b.*, n.score, n.entry_ord AS n_ord, n.label AS n_label, coalesce(n.score >= {THRESHOLD} AND
+            list_has_all({_WORDS_OF.format("n.norm")}, {_WORDS_OF.format(norm_sql("n.label"))}) <> list_has_all({_WORDS_OF.format(norm_sql("n.label"))}, {_WORDS_OF.format("n.norm")}), false) AS inside
+        FROM twice b LEFT JOIN near n ON n.norm = b.corrected AND e_ord IS NULL AND c_ord IS NULL),
+    cascade AS (SELECT *, CASE WHEN coalesce(norm, '') = '' THEN 'none' WHEN e_ord IS NOT NULL THEN 'exact' WHEN c_ord IS NOT NULL THEN 'alias'
+            WHEN score >= {THRESHOLD} AND NOT inside THEN 'fuzzy' WHEN inside THEN 'subset' ELSE 'none' END AS match_kind FROM seen),
+    matched AS (SELECT reading_id, norm, match_kind, CASE WHEN match_kind IN ('exact', 'alias') THEN 1.0::DOUBLE ELSE coalesce(score, 0.0) END AS match_score,
+            CASE match_kind WHEN 'exact' THEN e_ord WHEN 'alias' THEN c_ord WHEN 'fuzzy' THEN n_ord END AS matched_ord,
+            CASE WHEN match_kind IN ('none', 'subset') THEN n_label END AS possible_label FROM cascade)"""
+
 SQL = {
+    "match_nearest": f"WITH {_NAMES}, {_SCORES.format('norm', 'reads')} SELECT norm, score, entry_ord, label FROM near",
+    "match_cascade": f"WITH {_CASCADE} SELECT reading_id, match_kind, match_score, matched_ord, possible_label FROM matched",
+    "near_miss": f"""WITH {_CASCADE} SELECT reading_id, norm, match_kind, match_score, possible_label FROM matched
+        WHERE possible_label IS NOT NULL AND (match_kind = 'subset' OR match_score >= {THRESHOLD} - {MARGIN}) QUALIFY row_number() OVER (PARTITION BY norm ORDER BY reading_id) = 1""",
     "normalise_labels": f"SELECT reading_id, {norm_sql('name')} AS norm FROM readings",
     "token_subset": f"""WITH {_NAMES}, w AS (SELECT *, list_distinct(string_split(norm, ' ')) AS w, split_part(norm, ' ', 1) AS head FROM names)
         SELECT DISTINCT a.entry_ord, b.entry_ord AS other_ord, a.norm, b.norm AS other FROM w a JOIN w b ON a.head = b.head AND a.entry_ord < b.entry_ord
