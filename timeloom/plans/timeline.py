@@ -49,7 +49,7 @@ def video_display(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _folded(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = frames(spark, sf_dir, "value", "props").withColumn("k", k_of())
-    return folds.last_kept(rows, "user_id", ["idx"], "idx", "value", "k", THRESHOLD, WEIGHT, MIN_GAP, "event_id")
+    return folds.last_kept(rows, "user_id", ["idx"], "idx", "value", "k", THRESHOLD, WEIGHT, MIN_GAP, "event_id", in_order=True)
 
 
 def last_kept_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,11 +62,8 @@ def gap_suppressed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def build_screens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Screens: from each kept frame to the next, with its frames in order."""
-    seen = _folded(spark, sf_dir).groupBy("user_id", "segment").agg(F.min("idx").alias("first_idx"), F.max("idx").alias("last_idx"), F.count("*").alias("n"), F.array_sort(F.collect_list(F.struct("idx", "event_id"))).alias("f"))
-    return seen.select(
-        "user_id", F.format_string("s_%03d", "segment").alias("id"), "first_idx", "last_idx", "n",
-        F.get("f", F.lit(0))["event_id"].alias("representative"), F.array_join(F.transform("f", lambda f: f["event_id"].cast("string")), ",").alias("frames"),
-    )
+    seen = folds.segments(_folded(spark, sf_dir), "user_id", "idx", "event_id")
+    return seen.select("user_id", F.format_string("s_%03d", "segment").alias("id"), "first_idx", "last_idx", "n", "representative", F.col("members").alias("frames"))
 
 
 def corroborating_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,7 +93,7 @@ def jump_reanchor(spark: SparkSession, sf_dir: str) -> DataFrame:
         "user_id", "idx", "event_id", F.col("value").alias("x"), k_of().cast("double").alias("y"),
         F.when(F.col("event_type") == "error", 0.1).otherwise(0.9).alias("sure"), (F.col("event_type") == "signup").alias("by_hand"),
     )
-    return folds.reanchored(rows, "user_id", ["idx"], "event_id", "x", "y", "sure", "by_hand", **JUMP)
+    return folds.reanchored(rows, "user_id", ["idx"], "event_id", "x", "y", "sure", "by_hand", in_order=True, **JUMP)
 
 
 def rejected_jumps(spark: SparkSession, sf_dir: str) -> DataFrame:
