@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,24 +35,52 @@ def near_pairs(points: DataFrame, spans: DataFrame, tolerance: int) -> DataFrame
     return joined.select("key", "entity", "ord", "id", "span_ord", gap.cast("bigint").alias("distance"))
 
 
-def greedy_match(points: DataFrame, spans: DataFrame, tolerance: int) -> DataFrame:
+REST = 200_000  # open pairs that one task settles; more are settled in rounds by all
+
+
+def greedy_match(points: DataFrame, spans: DataFrame, tolerance: int, rest: int = REST) -> DataFrame:
     """(key, entity, id, distance): points in order of ``ord`` each claim the nearest span nobody claimed before (of equally
     near ones the first by span_ord).
 
     The claims of a serial order are the stable pairing in which every span prefers the earliest point, so they are found
-    in rounds for all entities at once: each open point asks for its best remaining span, each span keeps the earliest
-    point that asked and the others lose it. A round is a few aggregations; no entity is gathered anywhere.
+    in rounds for all entities at once: each open point asks for its best remaining span; later points lose a span that an
+    earlier one asks for; and a point that asks for a span which no earlier one could still want has it for good, so both
+    are taken out. When few pairs are open, one task goes through them in their order.
     """
-    left = materialise(near_pairs(points, spans, tolerance))
-    while True:
-        asks = left.groupBy("entity", "key").agg(F.min(F.struct("distance", "span_ord", "id", "ord")).alias("a")).select("entity", "key", "a.*")
-        holder = asks.groupBy("entity", "id").agg(F.min(F.struct("ord", "key")).alias("h")).select("entity", "id", F.col("h.ord").alias("held_ord"), F.col("h.key").alias("held_key"))
-        # a span that keeps a point is lost to all later points; earlier ones may still come to it
-        kept = left.join(holder, ["entity", "id"], "left").filter("held_ord is null or struct(ord, key) <= struct(held_ord, held_key)")
-        following = materialise(kept.drop("held_ord", "held_key"))
-        if following.count() == left.count():
-            return asks.select("key", "entity", "id", "distance")
-        left = following
+    open_, done = materialise(near_pairs(points, spans, tolerance)), []
+    while open_.count() > rest:
+        best = open_.groupBy("entity", "key").agg(F.min(F.struct("distance", "span_ord", "id")).alias("b")).select("entity", "key", F.col("b.id").alias("wanted"))
+        rows = open_.join(best, ["entity", "key"])
+        me = F.struct("ord", "key")
+        claims = rows.groupBy("entity", "id").agg(F.min(F.when(F.col("id") == F.col("wanted"), me)).alias("holder"), F.min(me).alias("first"))
+        told = rows.join(claims, ["entity", "id"])
+        mine = (F.col("id") == F.col("wanted")) & (F.col("holder") == me) & (F.col("first") == me)
+        told = materialise(told.withColumn("settled", F.coalesce(mine, F.lit(False))).withColumn("lost", F.coalesce(me > F.col("holder"), F.lit(False))))
+        settled = told.filter("settled").select("key", "entity", "id", "distance")
+        done.append(settled)
+        left = told.filter("not settled and not lost").select(*open_.columns)
+        open_ = materialise(left.join(settled.select("entity", "key"), ["entity", "key"], "left_anti"))
+    kinds = ", ".join(f"{c} {open_.schema[c].dataType.simpleString()}" for c in ("key", "entity", "id", "distance"))
+    out = open_.select("entity", "ord", "key", "distance", "span_ord", "id").coalesce(1).sortWithinPartitions("entity", "ord", "key", "distance", "span_ord", "id")
+    out = out.mapInArrow(_in_turn, kinds)
+    for settled in done:
+        out = out.unionByName(settled)
+    return out
+
+
+def _in_turn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each point, in the order of the rows, takes the first of its spans that is free."""
+    at, taken, served = None, set(), None
+    for batch in batches:
+        found = []
+        for place, (entity, key, span) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("entity", "key", "id")), strict=True)):
+            if entity != at:
+                at, taken, served = entity, set(), None
+            if key != served and span not in taken:
+                taken.add(span)
+                served = key
+                found.append(place)
+        yield batch.take(pa.array(found, pa.int64())).select(["key", "entity", "id", "distance"])
 
 
 def covered_gaps(gaps: DataFrame, spans: DataFrame, tolerance: int) -> DataFrame:
