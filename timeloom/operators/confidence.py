@@ -34,6 +34,17 @@ def combine(signals: dict[str, Column], weights: dict[str, float], threshold: fl
     return F.struct(score.alias("score"), coverage.alias("coverage"), verdict.alias("verdict"), missing.alias("missing"))
 
 
+def reason_of(combined: Column, unreadable: Column, threshold: float) -> Column:
+    """Why a result of :func:`combine` is for review, the first reason that holds; null where it is accepted."""
+    missing = F.array_join(combined["missing"], ", ")
+    return (
+        F.when(combined["verdict"] == "accepted", F.lit(None))
+        .when(F.coalesce(unreadable, F.lit("")) != "", unreadable)
+        .when(combined["coverage"] < MIN_COVERAGE, F.concat(F.lit("too little was measured, without: "), missing))
+        .when(combined["score"] < threshold, F.format_string("score %.4f", combined["score"]))
+    )
+
+
 def text_agreement(read: Column, seen: Column) -> Column:
     """Similarity of two readings; null where either is missing or empty."""
     return F.when((F.coalesce(read, F.lit("")) != "") & (F.coalesce(seen, F.lit("")) != ""), similarity(read, seen))

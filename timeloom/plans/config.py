@@ -8,6 +8,8 @@ from dataclasses import asdict, dataclass, field, fields
 from pathlib import Path
 from typing import Any
 
+# Names of sections and keys, their defaults, and what they must satisfy (to the end of ``_RULES``).
+
 
 @dataclass(frozen=True)
 class Sample:
@@ -71,6 +73,8 @@ class Classify:
     fuzzy_threshold: float = 0.82
     near_miss_margin: float = 0.15
     aliases: dict = field(default_factory=dict)
+    modules_in_scope: tuple = ()
+    partial_labels: tuple = ()
 
 
 SECTIONS: dict[str, type] = {"sample": Sample, "rectify": Rectify, "clean": Clean, "dedupe": Dedupe, "ocr": Ocr, "identify": Identify, "confidence": Agreement, "classify": Classify}
@@ -100,6 +104,40 @@ def load_layer(path: str | Path) -> dict:
     return said
 
 
+PROFILE_KEYS = ("name", "inventory", "root", "export_command", "publish_to")  # fixed value: what of a project is no section
+
+
+@dataclass(frozen=True)
+class Profile:
+    """A project: where its inventory is and how it is made; relative paths are those of the folder it was read from."""
+
+    name: str
+    inventory: Path
+    root: Path | None = None
+    export_command: str | None = None
+    publish_to: Path | None = None
+
+
+def split_project(layer: dict) -> tuple[dict, dict]:
+    """(profile, sections): the keys of a project layer that describe the project, and those that overlay the defaults."""
+    return {k: v for k, v in layer.items() if k in PROFILE_KEYS}, {k: v for k, v in layer.items() if k not in PROFILE_KEYS}
+
+
+def load_project(path: str | Path, base: str | Path | None = None) -> tuple[Profile, dict]:
+    """The profile of a project and its sections; without ``inventory`` it is an error."""
+    profile, sections = split_project(load_layer(path))
+    if not profile.get("inventory"):
+        raise ValueError(f"{path}: inventory is required")
+    base = Path(base or Path(path).parent)
+    place = lambda key: base / profile[key] if profile.get(key) else None
+    return Profile(profile.get("name") or Path(path).stem, place("inventory"), place("root"), profile.get("export_command"), place("publish_to")), sections
+
+
+def root_of(settings: dict[str, str | None], kind: str, base: str) -> str:
+    """The folder of outputs or caches (``kind``: out, cache): the setting ``timeloom.<kind>.root``, or one under ``base``."""
+    return settings.get(f"timeloom.{kind}.root") or f"{base.rstrip('/')}/{kind}"
+
+
 def resolve(*layers: dict) -> dict[str, Any]:
     """Sections by name from layers, first to last; unknown sections and keys are errors."""
     merged: dict = {}
