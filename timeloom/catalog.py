@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from timeloom.plans import edges, frames, general, matching, review, signals, timeline
+from timeloom.plans import catalogue, edges, frames, general, matching, review, signals, timeline
 
-MODULES = (timeline, matching, signals, review, edges, frames, general)
+MODULES = (timeline, matching, signals, review, edges, frames, general, catalogue)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -131,11 +131,12 @@ def norm_sql(column: str) -> str:
     return f"trim(regexp_replace(regexp_replace(lower(strip_accents({column})), '[^\\p{{L}}\\p{{M}}\\p{{N}}_\\s]+', ' ', 'g'), '\\s+', ' ', 'g'))"
 
 
-_NAMES = f"""names AS (SELECT * FROM (
+_LISTED = f"""names AS (SELECT * FROM (
         SELECT entry_id AS entry_ord, label, 0 AS name_ord, {norm_sql("label")} AS norm FROM inventory_list
         UNION ALL SELECT entry_id, label, i, {norm_sql("aliases[i]")} FROM inventory_list, range(1, len(coalesce(aliases, [])) + 1) r(i)) WHERE norm <> ''),
-    firsts AS (SELECT norm, entry_ord, name_ord, label FROM names QUALIFY row_number() OVER (PARTITION BY norm ORDER BY entry_ord, name_ord) = 1),
-    reads AS (SELECT reading_id, {norm_sql("name")} AS norm FROM readings)"""
+    firsts AS (SELECT norm, entry_ord, name_ord, label FROM names QUALIFY row_number() OVER (PARTITION BY norm ORDER BY entry_ord, name_ord) = 1)"""
+_READS = f"reads AS (SELECT reading_id, {norm_sql('name')} AS norm FROM readings)"
+_NAMES = f"{_LISTED}, {_READS}"
 # every distinct name against every name of the list
 _SCORES = f"""asked AS (SELECT DISTINCT {{0}} AS norm FROM {{1}} WHERE {{0}} <> ''), pairs AS (
         SELECT row_number() OVER () AS id, a.norm AS a, f.norm AS b, f.entry_ord, f.name_ord, f.label FROM asked a CROSS JOIN firsts f), {SCORED},
@@ -144,7 +145,7 @@ _SCORES = f"""asked AS (SELECT DISTINCT {{0}} AS norm FROM {{1}} WHERE {{0}} <>
 _FIXED = "CASE r.norm " + " ".join(f"WHEN '{k.lower()}' THEN '{v.lower()}'" for k, v in CORRECTIONS.items()) + " ELSE r.norm END"
 
 _WORDS_OF = "list_distinct(string_split({0}, ' '))"
-_CASCADE = f"""{_NAMES}, told AS (SELECT reading_id, r.norm, {_FIXED} AS corrected FROM reads r),
+_STEPS = f"""told AS (SELECT reading_id, r.norm, {_FIXED} AS corrected FROM reads r),
     twice AS (SELECT t.*, e.entry_ord AS e_ord, c.entry_ord AS c_ord FROM told t LEFT JOIN firsts e ON e.norm = t.norm LEFT JOIN firsts c ON c.norm = t.corrected),
     {_SCORES.format("corrected", "(SELECT * FROM twice WHERE e_ord IS NULL AND c_ord IS NULL)")},
     seen AS (SELECT b.*, n.score, n.entry_ord AS n_ord, n.label AS n_label, coalesce(n.score >= {THRESHOLD} AND
@@ -155,6 +156,13 @@ _CASCADE = f"""{_NAMES}, told AS (SELECT reading_id, r.norm, {_FIXED} AS correct
     matched AS (SELECT reading_id, norm, match_kind, CASE WHEN match_kind IN ('exact', 'alias') THEN 1.0::DOUBLE ELSE coalesce(score, 0.0) END AS match_score,
             CASE match_kind WHEN 'exact' THEN e_ord WHEN 'alias' THEN c_ord WHEN 'fuzzy' THEN n_ord END AS matched_ord,
             CASE WHEN match_kind IN ('none', 'subset') THEN n_label END AS possible_label FROM cascade)"""
+_CASCADE = f"{_NAMES}, {_STEPS}"
+
+
+def cascade_sql(reads: str) -> str:
+    """CTEs up to ``matched`` (reading_id, norm, match_kind, match_score, matched_ord, possible_label) for a CTE ``reads`` (reading_id, norm)."""
+    return f"{_LISTED}, reads AS ({reads}), {_STEPS}"
+
 
 SQL = {
     "match_nearest": f"WITH {_NAMES}, {_SCORES.format('norm', 'reads')} SELECT norm, score, entry_ord, label FROM near",
