@@ -19,6 +19,12 @@ def tolerance_ms(run_fps: float, fixture_fps: float | None = None, intervals: in
     return int(intervals * 1000 / fps) if fps > 0 else 2000
 
 
+def tolerance_of(run_fps: Column, fixture_fps: Column, intervals: int = 2) -> Column:
+    """:func:`tolerance_ms` of columns; a missing rate of the fixture is that of the run."""
+    fps = F.least(run_fps.cast("double"), fixture_fps.cast("double"))  # nulls do not count
+    return F.when(fps > 0, (F.lit(intervals * 1000.0) / fps).cast("bigint")).otherwise(2000)
+
+
 def _slots(df: DataFrame, start: Column, end: Column) -> DataFrame:
     slot = lambda c: F.floor(c / SLOT_MS).cast("bigint")
     return df.withColumn("_slot", F.explode(F.sequence(slot(start), slot(end))))

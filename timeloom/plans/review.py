@@ -145,14 +145,13 @@ QUERIES = {
 }
 
 
-def _sql() -> dict[str, str]:
+def _greedy() -> dict[str, str]:
+    """CTEs that other queries use too: ``once``, and (recursive) the claims of fixture rows with what follows from them."""
     from timeloom.plans.general import timecode_sql
-    from timeloom.plans.timeline import _clock
 
     once = """once AS (SELECT * FROM (SELECT slug, id, t_ms_start, t_ms_end, identity.name AS name, identity.module AS module, confidence, received_at FROM screens)
         QUALIFY row_number() OVER (PARTITION BY slug, id ORDER BY received_at, t_ms_start, t_ms_end) = 1)"""
     pts = f"pts AS (SELECT * FROM (SELECT fixture_id, slug, {timecode_sql('t')} AS t FROM fixture_screens) WHERE t IS NOT NULL)"
-    gaps = f"gaps AS (SELECT * FROM (SELECT missed_id, slug, {timecode_sql('from_')} AS s, {timecode_sql('to_')} AS e FROM missed_spans) WHERE s <= e)"
     greedy = f"""{once}, {pts}, near AS (
             SELECT fixture_id, pts.slug, id, t_ms_start, CASE WHEN t BETWEEN t_ms_start AND t_ms_end THEN 0 ELSE least(abs(t - t_ms_start), abs(t - t_ms_end)) END AS distance
             FROM pts JOIN once ON pts.slug = once.slug WHERE t BETWEEN t_ms_start - {TOLERANCE} AND t_ms_end + {TOLERANCE}),
@@ -170,6 +169,18 @@ def _sql() -> dict[str, str]:
         differing AS (
             SELECT fixture_id AS key, 'name' AS field, 'regression' AS status, x_name AS expected, name AS actual FROM compared WHERE coalesce(x_name, '') <> '' AND x_name IS DISTINCT FROM name
             UNION ALL SELECT fixture_id, 'module', 'regression', x_module, module FROM compared WHERE coalesce(x_module, '') <> '' AND x_module IS DISTINCT FROM module)"""
+    return {"once": once, "pts": pts, "greedy": greedy}
+
+
+GREEDY = _greedy()
+
+
+def _sql() -> dict[str, str]:
+    from timeloom.plans.general import timecode_sql
+    from timeloom.plans.timeline import _clock
+
+    once, pts, greedy = GREEDY["once"], GREEDY["pts"], GREEDY["greedy"]
+    gaps = f"gaps AS (SELECT * FROM (SELECT missed_id, slug, {timecode_sql('from_')} AS s, {timecode_sql('to_')} AS e FROM missed_spans) WHERE s <= e)"
     closed = f"{gaps}, closing AS (SELECT missed_id, EXISTS (SELECT 1 FROM once o WHERE o.slug = gaps.slug AND t_ms_start <= e + {TOLERANCE} AND t_ms_end >= s - {TOLERANCE}) AS covered FROM gaps)"
     differs = lambda n, s: f"SELECT reading_id AS key, '{n}' AS field, '{s}' AS status, r.{n} AS expected, p.{n} AS actual FROM readings r JOIN p USING (slug, frame_id) WHERE coalesce(r.{n}, '') <> '' AND r.{n} IS DISTINCT FROM p.{n}"
     return {

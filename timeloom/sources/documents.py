@@ -80,6 +80,11 @@ def parse_probe(text: Column) -> Column:
     )
 
 
+def sibling_path(path: Column, frames: str) -> Column:
+    """The path of the same frame in another set of frames (raw, rect, clean, kept)."""
+    return F.regexp_replace(path, r"(^|/)raw/", f"$1{frames}/")
+
+
 FIXTURE_SCREENS = "slug string, ord bigint, t string, name string, module string, bucket string, note string"
 FIXTURE_GAPS = "slug string, ord bigint, from_ string, to_ string, note string"
 
