@@ -33,6 +33,15 @@ def stale(recorded: DataFrame, current: DataFrame, keys: list[str], section: str
     return differs.groupBy(*keys).agg(F.array_join(F.array_sort(F.collect_set(section)), ",").alias("stale_sections"))
 
 
+LEAST_COMMIT_DIGITS = 7  # fixed value: shorter commits are compared with nothing
+
+
+def commits_agree(a: Column, b: Column) -> Column:
+    """Whether two commits agree as far as both are given, in any case; null where one is missing."""
+    n = F.least(F.length(a), F.length(b))
+    return F.when(a.isNotNull() & b.isNotNull(), (n >= LEAST_COMMIT_DIGITS) & (F.lower(F.left(a, n)) == F.lower(F.left(b, n))))
+
+
 def cache_key(*parts: Column) -> Column:
     return F.sha2(F.concat_ws("\n", *parts), 256)
 

@@ -3,20 +3,22 @@
 from __future__ import annotations
 
 import math
+import os
 import re
 import shlex
 import subprocess
+import tempfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SLUG = re.compile(r"^[a-z0-9][a-z0-9_-]*$")
-LEAST_COMMIT_DIGITS = 7  # fixed value: shorter commits are compared with nothing
+from timeloom.operators.state import LEAST_COMMIT_DIGITS
 
 
 def check_slug(slug: str) -> str:
-    if not SLUG.match(slug):
+    """Letters, digits, hyphens and underscores of any alphabet."""
+    if not re.fullmatch(r"[\w-]+", slug):
         raise ValueError(f"not a slug: {slug!r}")
     return slug
 
@@ -42,24 +44,47 @@ def listed(root: str, name: str = "config.yaml") -> list[str]:
 
 def run_exporter(command: str, cwd: str, timeout_s: int = 600) -> None:
     """Runs the inventory's exporter; a failure is an error with the last line it wrote."""
-    done = subprocess.run(shlex.split(command), cwd=cwd, capture_output=True, text=True, timeout=timeout_s, check=False)
-    if done.returncode:
-        said = [line for line in done.stderr.splitlines() if line.strip()]
-        raise RuntimeError(f"exporter failed ({done.returncode}): {said[-1] if said else 'no message'}")
-
-
-def head_commit(path: str, timeout_s: int = 30) -> str | None:
-    try:
-        done = subprocess.run(["git", "-C", path, "rev-parse", "HEAD"], capture_output=True, text=True, timeout=timeout_s, check=False)
-    except (OSError, subprocess.TimeoutExpired):
+    with tempfile.TemporaryFile("w+", errors="replace") as told, subprocess.Popen(shlex.split(command), cwd=cwd, stdout=subprocess.DEVNULL, stderr=told) as running:
+        try:
+            code = running.wait(timeout_s)
+        except subprocess.TimeoutExpired:
+            running.kill()
+            raise RuntimeError(f"exporter took longer than {timeout_s} s") from None
+        told.seek(0)
+        last = "no message"
+        for line in told:  # kept line by line, however much it wrote
+            last = line.strip() or last
+    if code:
+        raise RuntimeError(f"exporter failed ({code}): {last}")
+
+
+def head_commit(path: str) -> str | None:
+    """The commit a working copy is at, read from its files; None where there is none."""
+    for folder in (Path(path), *Path(path).absolute().parents):
+        git = folder / ".git"
+        if git.is_file():  # a linked working copy names its folder
+            git = folder / git.read_text().removeprefix("gitdir:").strip()
+        if (git / "HEAD").is_file():
+            break
+    else:
         return None
-    return done.stdout.strip() or None if done.returncode == 0 else None
+    head = (git / "HEAD").read_text().strip()
+    if not head.startswith("ref:"):
+        return head or None
+    name = head.removeprefix("ref:").strip()
+    common = git / (git / "commondir").read_text().strip() if (git / "commondir").is_file() else git
+    for place in (git / name, common / name):
+        if place.is_file():
+            return place.read_text().strip() or None
+    packed = common / "packed-refs"
+    lines = packed.read_text().splitlines() if packed.is_file() else []
+    return next((line.split()[0] for line in lines if line.endswith(f" {name}")), None)
 
 
 def same_commit(a: str | None, b: str | None) -> bool:
-    """Whether two commits agree as far as both are given."""
-    n = min(len(a or ""), len(b or ""))
-    return n >= LEAST_COMMIT_DIGITS and a[:n].lower() == b[:n].lower()
+    """Whether two commits agree as far as both are given (columns: :func:`timeloom.operators.state.commits_agree`)."""
+    both = [(c or "").lower() for c in (a, b)]
+    return len(os.path.commonprefix(both)) == min(map(len, both)) >= LEAST_COMMIT_DIGITS
 
 
 def require_fresh(inventory_commit: str | None, head: str | None) -> None:

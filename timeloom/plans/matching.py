@@ -60,6 +60,11 @@ def contained_names(listed: DataFrame) -> DataFrame:
     )
 
 
+def contained_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pairs of :func:`contained_names`, whatever words they begin with."""
+    return contained_names(names(spark, sf_dir))
+
+
 def token_set_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings of a name against the section and the module on the same screen."""
     return table(spark, sf_dir, "readings").select("reading_id", similarity(F.col("name"), F.col("module")).alias("to_module"), similarity(F.col("name"), F.col("section")).alias("to_section"))
@@ -120,7 +125,7 @@ def reading_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        normalise_labels, token_subset, token_set_similarity, match_exact, match_alias, match_nearest, match_cascade, near_miss, classify_bucket,
+        normalise_labels, token_subset, contained_labels, token_set_similarity, match_exact, match_alias, match_nearest, match_cascade, near_miss, classify_bucket,
         inventory_duplicates, alias_collisions, reading_attribution,
     )
 }
@@ -173,6 +178,9 @@ SQL = {
     "token_subset": f"""WITH {_NAMES}, w AS (SELECT *, list_distinct(string_split(norm, ' ')) AS w, split_part(norm, ' ', 1) AS head FROM names)
         SELECT DISTINCT a.entry_ord, b.entry_ord AS other_ord, a.norm, b.norm AS other FROM w a JOIN w b ON a.head = b.head AND a.entry_ord < b.entry_ord
         WHERE list_has_all(a.w, b.w) <> list_has_all(b.w, a.w)""",
+    "contained_labels": f"""WITH {_NAMES}, w AS (SELECT *, list_distinct(string_split(norm, ' ')) AS w FROM names)
+        SELECT DISTINCT a.entry_ord, b.entry_ord AS other_ord, a.norm, b.norm AS other FROM w a JOIN w b ON a.entry_ord < b.entry_ord
+        WHERE list_has_all(a.w, b.w) <> list_has_all(b.w, a.w)""",
     "token_set_similarity": f"""WITH pairs AS (
         SELECT reading_id * 2 AS id, {norm_sql("name")} AS a, {norm_sql("module")} AS b FROM readings UNION ALL SELECT reading_id * 2 + 1, {norm_sql("name")}, {norm_sql("section")} FROM readings), {SCORED}
         SELECT reading_id, m.score AS to_module, s.score AS to_section FROM readings JOIN scored m ON m.id = reading_id * 2 JOIN scored s ON s.id = reading_id * 2 + 1""",

@@ -131,9 +131,8 @@ def commit_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
     snaps = table(spark, sf_dir, "inventory_snapshots").groupBy("project", "exported_at").agg(F.min(F.lower("generated_from.commit")).alias("commit"))
     before = F.lag("commit").over(Window.partitionBy("project").orderBy("exported_at"))
     rows = snaps.withColumn("previous", before)
-    n = F.least(F.length("commit"), F.length("previous"))
-    same = (n >= 7) & (F.left("commit", n) == F.left("previous", n))
-    return rows.select("project", "exported_at", F.when(F.col("commit").isNull() | F.col("previous").isNull(), "unknown").when(same, "same").otherwise("moved").alias("state"))
+    same = state.commits_agree(F.col("commit"), F.col("previous"))
+    return rows.select("project", "exported_at", F.when(same.isNull(), "unknown").when(same, "same").otherwise("moved").alias("state"))
 
 
 QUERIES = {
