@@ -114,6 +114,11 @@ def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.mixture(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "mix_targets"))[1]
 
 
+def p8_marginals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every source, language and topic was to have of the tokens, and has."""
+    return mixture.mixture_with_marginals(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "mix_targets"))[2]
+
+
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookalike.lookalike_pairs(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -123,7 +128,7 @@ def p9_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (p2_found, p2_unmatched, p2_candidates, p4_found, p4_runs, p5_found, p5_distances, p6_found, p6_records, p7_ids, p7_source_tokens, p8_mixture, p8_shares, p9_found, p9_classes)
+    found = (p2_found, p2_unmatched, p2_candidates, p4_found, p4_runs, p5_found, p5_distances, p6_found, p6_records, p7_ids, p7_source_tokens, p8_mixture, p8_shares, p8_marginals, p9_found, p9_classes)
     return {f.__name__: f for f in found}
 
 
