@@ -11,15 +11,15 @@ from pyspark.sql import functions as F
 from timeloom.session import shuffle_partitions
 
 
-def in_blocks(asked: DataFrame, listed: DataFrame, run: Callable[[pa.Table, pa.Table], pa.Table], schema: str, block: int, share: int = 20_000) -> DataFrame:
+def in_blocks(asked: DataFrame, listed: DataFrame, run: Callable[[pa.Table, pa.Table], pa.Table], schema: str, block: int, share: int = 20_000, asked_rows: int | None = None) -> DataFrame:
     """``run(share of asked, block of listed)`` for every share and every block; the first column of each spreads its rows.
 
-    Both tables must be materialised: they are counted. A group holds about ``share`` rows of the one and ``block`` of the
+    Both tables must be materialised: they are counted (``asked_rows``: how many there are, where that is known). A group holds about ``share`` rows of the one and ``block`` of the
     other, so no task grows with either table, and neither passes through the driver or is broadcast.
     """
     n = shuffle_partitions(asked.sparkSession)
     blocks = -(-listed.count() // block) or 1
-    shares = max(-(-asked.count() // share), -(-n // blocks))
+    shares = max(-(-(asked.count() if asked_rows is None else asked_rows) // share), -(-n // blocks))
     spread = lambda df, k: F.pmod(F.xxhash64(df.columns[0]), F.lit(k)).cast("int")
     every = lambda k: F.explode(F.sequence(F.lit(0), F.lit(k - 1)))
     left = asked.withColumn("_s", spread(asked, shares)).withColumn("_b", every(blocks))
