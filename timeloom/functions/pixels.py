@@ -60,29 +60,40 @@ def _decode_png(data: bytes) -> Image:
     width, height, channels = head[0], head[1], {0: 1, 2: 3, 6: 4}[head[3]]
     raw = np.frombuffer(zlib.decompress(b"".join(packed)), np.uint8).reshape(height, 1 + width * channels)
     out = np.zeros((height, width * channels), np.uint8)
-    above = np.zeros(width * channels, np.int32)
+    above = np.zeros(width * channels, np.uint8)
     for y in range(height):
-        line, mode = raw[y, 1:].astype(np.int32), raw[y, 0]
-        if mode == 2:
-            line = line + above
-        elif mode in (1, 3, 4):
-            for x in range(len(line)):
-                left = line[x - channels] if x >= channels else 0
-                corner = above[x - channels] if x >= channels else 0
-                if mode == 1:
-                    guess = left
-                elif mode == 3:
-                    guess = (left + above[x]) // 2
-                else:
-                    p = left + above[x] - corner
-                    guess = min((abs(p - left), 0, left), (abs(p - above[x]), 1, above[x]), (abs(p - corner), 2, corner))[2]
-                line[x] = (line[x] + guess) & 255
-        above = line & 255
-        out[y] = above
+        above = out[y] = _unfiltered(raw[y, 1:], int(raw[y, 0]), above, channels)
     image = out.reshape(height, width, channels)
     return image[:, :, 0] if channels == 1 else image[:, :, :3]
 
 
+def _unfiltered(line: np.ndarray, mode: int, above: np.ndarray, channels: int) -> np.ndarray:
+    """A line of a PNG with its filter undone. Bytes add modulo 256, so whole lines are summed; only the guesses that are
+    not sums of their neighbours (mean, nearest) go from byte to byte."""
+    if mode == 0:
+        return line
+    if mode == 2:
+        return line + above
+    if mode == 1:
+        return np.cumsum(line.reshape(-1, channels), axis=0, dtype=np.uint8).ravel()
+    done, up = [0] * channels + line.tolist(), [0] * channels + above.tolist()
+    for x in range(channels, len(done)):
+        left, top = done[x - channels], up[x]
+        if mode == 3:
+            guess = (left + top) // 2
+        else:
+            corner = up[x - channels]
+            p, q = top - corner, left - corner
+            guess = left if abs(p) <= abs(q) and abs(p) <= abs(p + q) else top if abs(q) <= abs(p + q) else corner
+        done[x] = (done[x] + guess) & 255
+    return np.array(done[channels:], np.uint8)
+
+
+def png_size(data: bytes) -> tuple[int, int] | None:
+    """(width, height) of a PNG from its head; nothing is decoded. None for other data."""
+    return struct.unpack(">II", data[16:24]) if data[:8] == b"\x89PNG\r\n\x1a\n" and len(data) >= 24 else None
+
+
 def encode_png(image: Image) -> bytes:
     """The same bytes for the same pixels."""
     height, width = image.shape[:2]
@@ -249,28 +260,52 @@ def sample(image: Image, x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return (image[y0, x0] * (1 - wx) + image[y0, x1] * wx) * (1 - wy) + (image[y1, x0] * (1 - wx) + image[y1, x1] * wx) * wy
 
 
+def sample_cubic(image: Image, x: np.ndarray, y: np.ndarray, sharp: float = -0.75) -> np.ndarray:
+    """Values at fractional places by cubic convolution over 4 x 4 pixels, borders repeated."""
+    height, width = image.shape[:2]
+    x0, y0 = np.floor(x).astype(int), np.floor(y).astype(int)
+
+    def weight(d: np.ndarray) -> np.ndarray:
+        d = np.abs(d)
+        near = ((sharp + 2) * d - (sharp + 3)) * d * d + 1
+        return np.where(d <= 1, near, np.where(d < 2, ((d - 5) * d + 8) * d * sharp - 4 * sharp, 0.0))
+
+    out = 0.0
+    for j in range(-1, 3):
+        for i in range(-1, 3):
+            w = weight(x - (x0 + i)) * weight(y - (y0 + j))
+            out = out + image[np.clip(y0 + j, 0, height - 1), np.clip(x0 + i, 0, width - 1)] * (w[..., None] if image.ndim == 3 else w)
+    return out
+
+
 def warp(image: Image, corners: np.ndarray, width: int, height: int) -> Image:
     """The quadrilateral ``corners`` (clockwise from top left) as an upright image."""
     back = homography(np.array([[0, 0], [width - 1, 0], [width - 1, height - 1], [0, height - 1]], float), np.asarray(corners, float))
     v, u = np.mgrid[0:height, 0:width]
     x, y, w = np.tensordot(back, np.stack([u, v, np.ones_like(u)]).astype(float), axes=1)
-    return np.clip(np.rint(sample(image, x / w, y / w)), 0, 255).astype(np.uint8)
+    return np.clip(np.rint(sample_cubic(image, x / w, y / w)), 0, 255).astype(np.uint8)
 
 
-def shift_between(a: Image, b: Image) -> tuple[float, float, float]:
-    """(dx, dy, response): how far ``b`` is moved against ``a``, by phase correlation under a Hann window."""
+def shift_between(a: Image, b: Image, fine: bool = False) -> tuple[float, float, float]:
+    """(dx, dy, response): how far ``b`` is moved against ``a``, by phase correlation under a Hann window; ``fine``: to parts of
+    a pixel, by the centre of mass around the peak."""
     g, h = gray(a).astype(float), gray(b).astype(float)
     window = np.outer(np.hanning(g.shape[0]), np.hanning(g.shape[1]))
     cross = np.fft.rfft2(h * window) * np.conj(np.fft.rfft2(g * window))
     peak = np.fft.irfft2(cross / np.maximum(np.abs(cross), 1e-12), g.shape)
     y, x = np.unravel_index(int(peak.argmax()), peak.shape)
     signed = lambda at, size: at - size if at > size // 2 else at
-    return float(signed(x, g.shape[1])), float(signed(y, g.shape[0])), float(peak.max())
+    dx, dy = float(signed(x, g.shape[1])), float(signed(y, g.shape[0]))
+    if fine:
+        around = np.arange(-2, 3)
+        mass = np.maximum(peak[np.ix_((y + around) % g.shape[0], (x + around) % g.shape[1])], 0.0)
+        dx, dy = dx + float(mass.sum(axis=0) @ around) / mass.sum(), dy + float(mass.sum(axis=1) @ around) / mass.sum()
+    return dx, dy, float(peak.max())
 
 
 def align(image: Image, base: Image) -> tuple[Image, bool]:
     """``image`` moved onto ``base``; left alone where the shift is unsure or too large."""
-    dx, dy, response = shift_between(base, image)
+    dx, dy, response = shift_between(base, image, fine=True)
     if response < MIN_RESPONSE or abs(dx) > MAX_SHIFT * image.shape[1] or abs(dy) > MAX_SHIFT * image.shape[0]:
         return image, False
     v, u = np.mgrid[0 : image.shape[0], 0 : image.shape[1]]
@@ -294,36 +329,133 @@ def order_corners(points: np.ndarray) -> np.ndarray:
     return np.roll(ring, -int(ring.sum(axis=1).argmin()), axis=0)
 
 
-def detect_quad(image: Image, aspect: tuple[float, float] = (1.3, 2.2), least_share: float = 0.05) -> tuple[np.ndarray, float] | None:
-    """Corners and confidence of the largest bright region that is a quadrilateral of a likely shape, or None.
+CLOSING, EPSILON, DOMINANT = 9, 0.02, 0.5  # fixed values: pixels closed, tolerance of a polygon by its length, a share that settles the search
+
+
+def closed(mask: np.ndarray, size: int = CLOSING) -> np.ndarray:
+    """``mask`` with gaps narrower than ``size`` pixels filled: spread, then drawn back (sums over windows)."""
+
+    def spread(m: np.ndarray, outside: bool) -> np.ndarray:
+        half = size // 2
+        padded = np.pad(m, half, constant_values=outside).astype(np.int32)
+        total = np.pad(padded.cumsum(axis=0).cumsum(axis=1), ((1, 0), (1, 0)))
+        return (total[size:, size:] - total[:-size, size:] - total[size:, :-size] + total[:-size, :-size]) > 0
+
+    return ~spread(~spread(mask, False), False)
+
 
-    Confidence is the share of the quadrilateral that is bright times the contrast between inside and outside.
+def outline(part: np.ndarray) -> np.ndarray:
+    """The convex outline (x, y) of a region: of the first and last pixel of each row, those that turn one way."""
+    rows = np.flatnonzero(part.any(axis=1))
+    first, last = part[rows].argmax(axis=1), part.shape[1] - 1 - part[rows, ::-1].argmax(axis=1)
+    points = sorted({*zip(first.tolist(), rows.tolist(), strict=True), *zip(last.tolist(), rows.tolist(), strict=True)})
+
+    def half(order: list) -> list:
+        kept: list = []
+        for p in order:
+            while len(kept) > 1 and (kept[-1][0] - kept[-2][0]) * (p[1] - kept[-2][1]) <= (kept[-1][1] - kept[-2][1]) * (p[0] - kept[-2][0]):
+                kept.pop()
+            kept.append(p)
+        return kept[:-1]
+
+    return np.array(half(points) + half(points[::-1]), float).reshape(-1, 2) if len(points) > 2 else np.array(points, float).reshape(-1, 2)
+
+
+def simplified(ring: np.ndarray, tolerance: float) -> np.ndarray:
+    """The corners of a closed polygon from which no other point of it is farther than ``tolerance``."""
+    start = int(np.linalg.norm(ring - ring[0], axis=1).argmax())
+    ring = np.roll(ring, -start, axis=0)
+    across = int(np.linalg.norm(ring - ring[0], axis=1).argmax())
+    keep, open_ = {0, across}, [(0, across), (across, len(ring))]
+    while open_:
+        low, high = open_.pop()
+        a, b = ring[low], ring[high % len(ring)]
+        between = ring[low + 1 : high]
+        if not len(between):
+            continue
+        along = b - a
+        away = np.abs(along[0] * (between[:, 1] - a[1]) - along[1] * (between[:, 0] - a[0])) / max(float(np.hypot(*along)), 1e-12)
+        far = int(away.argmax())
+        if away[far] > tolerance:
+            keep.add(low + 1 + far)
+            open_ += [(low, low + 1 + far), (low + 1 + far, high)]
+    return ring[sorted(keep)]
+
+
+def refined(corners: np.ndarray, edge: np.ndarray) -> np.ndarray:
+    """Corners to parts of a pixel: where the lines through the outline's pixels along each side meet."""
+    lines = []
+    for a, b in zip(corners, np.roll(corners, -1, axis=0), strict=True):
+        along = (b - a) / max(float(np.hypot(*(b - a))), 1e-12)
+        off = (edge - a) @ np.array([-along[1], along[0]])
+        at = (edge - a) @ along
+        near = edge[(np.abs(off) <= 2) & (at > 3) & (at < np.hypot(*(b - a)) - 3)]
+        if len(near) < 4:
+            return corners
+        middle = near.mean(axis=0)
+        _, _, axes = np.linalg.svd(near - middle, full_matrices=False)
+        lines.append((middle, axes[0]))
+    out = []
+    for (p, d), (q, e) in zip([lines[-1], *lines[:-1]], lines, strict=True):
+        turn = d[0] * e[1] - d[1] * e[0]
+        if abs(turn) < 1e-6:
+            return corners
+        out.append(p + d * (((q - p)[0] * e[1] - (q - p)[1] * e[0]) / turn))
+    moved = np.array(out)
+    return moved if np.abs(moved - corners).max() <= 5 else corners
+
+
+def _area(quad: np.ndarray) -> float:
+    x, y = quad[:, 0], quad[:, 1]
+    return abs(float(np.dot(x, np.roll(y, -1)) - np.dot(y, np.roll(x, -1)))) / 2
+
+
+def inside_of(quad: np.ndarray, height: int, width: int) -> np.ndarray:
+    """The pixels inside a convex quadrilateral given clockwise, its edges included."""
+    v, u = np.mgrid[0:height, 0:width]
+    held = np.ones((height, width), bool)
+    for a, b in zip(quad, np.roll(quad, -1, axis=0), strict=True):
+        held &= (b[0] - a[0]) * (v - a[1]) - (b[1] - a[1]) * (u - a[0]) >= -0.5 * np.hypot(*(b - a))
+    return held
+
+
+def detect_quad(image: Image, aspect: tuple[float, float] = (1.3, 2.2), full_contrast: float = 128.0) -> tuple[np.ndarray, float] | None:
+    """Corners and confidence of the bright region that is most surely a quadrilateral of a likely shape, or None.
+
+    Small gaps are closed; then all regions are looked at, the largest first, up to a likely one over half of the frame.
+    Confidence is how much of the quadrilateral the region fills times the contrast between inside and outside, which is
+    full at ``full_contrast`` levels.
     """
     g = np.rint(blur(gray(image), 1.1)).astype(np.uint8)
-    bright = g > otsu(g)[0]
-    parts = regions(bright)
+    parts = regions(closed(g > otsu(g)[0]))
     sizes = np.bincount(parts.ravel())[1:]
     best = None
-    for label in np.argsort(-sizes)[:4] + 1:
-        if sizes[label - 1] < least_share * g.size:
+    for label in (np.argsort(-sizes, kind="stable") + 1).tolist():
+        if sizes[label - 1] < 16:  # too small to have four sides; all that follow are smaller
             break
-        ys, xs = np.nonzero(parts == label)
-        points = np.stack([xs, ys], axis=1).astype(float)
-        ends = [points[int((points @ d).argmax())] for d in ((-1, -1), (1, -1), (1, 1), (-1, 1))]
-        quad = order_corners(np.array(ends))
-        x, y = quad[:, 0], quad[:, 1]
-        area = abs(np.dot(x, np.roll(y, -1)) - np.dot(y, np.roll(x, -1))) / 2
-        sides = np.linalg.norm(quad - np.roll(quad, -1, axis=0), axis=1)
-        if area <= 0 or min(sides) < 2:
+        part = parts == label
+        ring = outline(part)
+        length = float(np.linalg.norm(ring - np.roll(ring, -1, axis=0), axis=1).sum())
+        quad = simplified(ring, EPSILON * length) if len(ring) >= 4 else ring
+        if len(quad) != 4:
             continue
-        shape = (sides[0] + sides[2]) / (sides[1] + sides[3])
-        solid = min(len(points) / area, area / len(points))
-        if not aspect[0] <= shape <= aspect[1] or solid < 0.8:
+        rows = np.flatnonzero(part.any(axis=1))
+        columns = np.flatnonzero(part.any(axis=0))
+        border = np.concatenate([
+            np.stack([part[rows].argmax(axis=1), rows], axis=1), np.stack([part.shape[1] - 1 - part[rows, ::-1].argmax(axis=1), rows], axis=1),
+            np.stack([columns, part[:, columns].argmax(axis=0)], axis=1), np.stack([columns, part.shape[0] - 1 - part[::-1, columns].argmax(axis=0)], axis=1),
+        ]).astype(float)
+        quad = order_corners(refined(order_corners(quad), border))
+        area, sides = _area(quad), np.linalg.norm(quad - np.roll(quad, -1, axis=0), axis=1)
+        if area <= 0 or min(sides) < 2 or not aspect[0] <= (sides[0] + sides[2]) / (sides[1] + sides[3]) <= aspect[1]:
             continue
-        inside = parts == label
-        confidence = round(solid * min(max(float(g[inside].mean() - g[~inside].mean()) / 128, 0.0), 1.0), 4)
+        inside = inside_of(quad, *g.shape)
+        contrast = float(g[inside].mean() - g[~inside].mean()) / full_contrast if inside.any() and not inside.all() else 0.0
+        confidence = round(min(float(part.sum()) / area, 1.0) * min(max(contrast, 0.0), 1.0), 4)
         if best is None or confidence > best[1]:
             best = quad, confidence
+        if best[1] > 0 and area > DOMINANT * g.size:
+            break
     return best
 
 

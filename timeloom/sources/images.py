@@ -39,7 +39,28 @@ def kernel(run: Callable[..., object], kind: str, *images: Column) -> Column:
 
 
 def sizes(content: Column) -> Column:
-    return kernel(lambda i: {"w": i.shape[1], "h": i.shape[0]}, "struct<w:int,h:int>", content)
+    """struct(w, h): of a PNG from its head, of other images once decoded; null where there is no image."""
+
+    @F.arrow_udf("struct<w:int,h:int>")
+    def read(values: pa.Array) -> pa.Array:
+        out = []
+        for data in values:
+            data = data.as_py()
+            found = None if data is None else pixels.png_size(data) or pixels.decode(data).shape[1::-1]
+            out.append(None if found is None else {"w": int(found[0]), "h": int(found[1])})
+        return pa.array(out, pa.struct([("w", pa.int32()), ("h", pa.int32())]))
+
+    return read(content)
+
+
+def kept_frames(frames: DataFrame, screens: DataFrame, frame: str = "frame_id") -> DataFrame:
+    """The frames (slug, frame_id, ...) that stand for a screen, each once whatever the number of its screens."""
+    return frames.join(screens.select("slug", F.col("representative_frame").alias(frame)), ["slug", frame], "left_semi")
+
+
+def full_frames(frames: DataFrame, image: str) -> DataFrame:
+    """``frames`` with their whole image encoded anew (content) and its digest, as they are asked about."""
+    return frames.withColumn("content", kernel(pixels.encode_png, "binary", F.col(image))).withColumn("sha256", F.sha2("content", 256))
 
 
 def montage(rows: DataFrame, sheet: str, row: str, image: str, width: int = 1568, strip: int = 64) -> DataFrame:
