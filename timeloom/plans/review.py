@@ -104,7 +104,8 @@ def queue_by_module(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "inventory_list").filter("status in ('stub', 'disabled')")
     module = F.coalesce(F.nullif("module", F.lit("")), F.lit("Unassigned"))
     evidence = F.concat_ws(" · ", "status", F.nullif("source", F.lit("")))
-    return rows.select(module.alias("module"), F.row_number().over(Window.partitionBy(module).orderBy("label", "entry_id")).alias("n"), "label", evidence.alias("evidence"))
+    placed = numbering.numbered_within(rows.select(module.alias("module"), "label", "entry_id", evidence.alias("evidence")), "module", "label", "entry_id", name="n")
+    return placed.select("module", (F.col("n") + 1).cast("int").alias("n"), "label", "evidence")
 
 
 def bucket_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
