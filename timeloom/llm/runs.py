@@ -29,16 +29,16 @@ LINK = "gid bigint, ptr bigint, entity string, id string, t_start bigint, t_end
 
 
 def delivered_once(screens: DataFrame) -> DataFrame:
-    """(entity, id, t_start, t_end, name, section, frames): each screen once, the delivery received first."""
+    """(entity, id, t_start, t_end, name, section): each screen once, the delivery received first."""
     rows = screens.filter("slug is not null and id is not null and t_ms_start is not null").select(
         F.col("slug").alias("entity"), "id",
         F.struct(
             F.col("received_at").isNull().alias("late"), "received_at", F.col("t_ms_start").alias("t_start"),
             F.coalesce("t_ms_end", "t_ms_start").alias("t_end"), F.col("identity.name").alias("name"),
-            F.col("identity.section").alias("section"), F.col("frame_ids").alias("frames"),
+            F.col("identity.section").alias("section"),
         ).alias("d"),
     )
-    return rows.groupBy("entity", "id").agg(F.min("d").alias("d")).select("entity", "id", "d.t_start", "d.t_end", "d.name", "d.section", "d.frames")
+    return rows.groupBy("entity", "id").agg(F.min("d").alias("d")).select("entity", "id", "d.t_start", "d.t_end", "d.name", "d.section")
 
 
 def links(events: DataFrame, max_pause: int = MAX_PAUSE_MS) -> DataFrame:
