@@ -147,3 +147,18 @@ def test_project_profile_and_roots(tmp_path):
         config.load_project(tmp_path / "q.yaml")
     assert config.root_of({}, "out", "/base/") == "/base/out" and config.root_of({"timeloom.out.root": "/x"}, "out", "/base") == "/x"
     assert os.sep
+
+
+def test_documents_are_written_side_by_side(spark, done, tmp_path):
+    from timeloom.sources.documents import write_documents
+
+    _, out = done
+    lines = None
+    for name in ("catalogue", "queue", "review", "warnings"):
+        part = out[name].select("slug", F.lit(name).alias("document"), "n", "line")
+        lines = part if lines is None else lines.unionByName(part)
+    write_documents(lines, str(tmp_path / "out"), {"catalogue": "# Screens", "review": "# Review"})
+    read = lambda slug, name: [line for f in sorted((tmp_path / "out" / f"slug={slug}" / f"document={name}").glob("part-*")) for line in f.read_text().splitlines()]
+    assert read("v1", "catalogue")[0] == "# Screens" and [line.split(" | ")[0] for line in read("v1", "catalogue")[1:]] == ["| 1", "| 2"]
+    assert read("v2", "review")[0] == "# Review" and len(read("v2", "review")) == 1 + out["review"].filter("slug = 'v2'").count()
+    assert not (tmp_path / "out" / "slug=v1" / "document=queue").exists() and read("v2", "queue") == ["- **unread** at 00:00, frame f_000000; see review"]

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from timeloom.plans import catalogue, edges, frames, general, matching, review, shapes, signals, timeline
+from timeloom.plans import catalogue, edges, frames, general, matching, records, review, shapes, signals, timeline
 
-MODULES = (timeline, matching, signals, review, edges, frames, general, catalogue, shapes)
+MODULES = (timeline, matching, signals, review, edges, frames, general, catalogue, shapes, records)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

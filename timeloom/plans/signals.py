@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from timeloom.functions import hashes
@@ -44,15 +44,19 @@ def hash_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("slug", whole["cols"].alias("cols"), whole["rows"].alias("rows"), band["cols"].alias("band_cols"), band["rows"].alias("band_rows"))
 
 
-def confidence_combine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "lineitem")
-    signals = {
+def signals_of() -> dict[str, Column]:
+    """Line items as measured signals, some of them missing."""
+    return {
         "ocr_agreement": F.when(F.col("l_returnflag") != "R", F.col("l_discount") * 10),
         "cross_frame": F.when(F.col("l_quantity") <= 20, F.col("l_tax") * 12.5),
         "legibility": F.col("l_quantity") / 50,
         "framing": F.when(F.col("l_linestatus") != "O", F.lit(1.0)),
     }
-    said = confidence.combine(signals, WEIGHTS, THRESHOLD, F.when(F.col("l_linenumber") == 7, "glare"))
+
+
+def confidence_combine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "lineitem")
+    said = confidence.combine(signals_of(), WEIGHTS, THRESHOLD, F.when(F.col("l_linenumber") == 7, "glare"))
     return rows.select("l_orderkey", "l_linenumber", said.alias("c")).select("l_orderkey", "l_linenumber", "c.score", "c.coverage", "c.verdict", F.array_join("c.missing", ",").alias("missing"))
 
 

@@ -139,6 +139,20 @@ def write_lines(lines: DataFrame, path: str) -> None:
     lines.write.mode("overwrite").text(path)
 
 
+def write_documents(lines: DataFrame, path: str, heads: dict[str, str] | None = None) -> None:
+    """(slug, document, n, line) as text under ``path/slug=…/document=…``, the lines of a document in the order of n.
+
+    Documents are written side by side; one longer than a task is continued in further files, whose names keep the order.
+    ``heads``: the first line of each kind of document.
+    """
+    if heads:
+        titles = F.create_map(*(F.lit(x) for kv in heads.items() for x in kv))
+        tops = lines.select("slug", "document").distinct().select("slug", "document", F.lit(0).cast("bigint").alias("n"), titles[F.col("document")].alias("line"))
+        lines = lines.select("slug", "document", F.col("n").cast("bigint").alias("n"), "line").unionByName(tops.filter("line is not null"))
+    spread = lines.repartitionByRange("slug", "document", "n").sortWithinPartitions("slug", "document", "n")
+    spread.select("slug", "document", F.col("line").alias("value")).write.mode("overwrite").partitionBy("slug", "document").text(path)
+
+
 def publish(lines: DataFrame, path: str) -> str | None:
     """A second copy; a failure is returned as a warning, not raised."""
     try:
