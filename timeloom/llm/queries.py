@@ -106,6 +106,12 @@ def p7_source_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.groupBy("source").agg(F.count("*").alias("docs"), F.sum("n_tokens").alias("tokens"))
 
 
+def p7_appended(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its path appended: its tokens then and before, and the characters encoded again for it."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", F.concat(F.lit("\n"), F.coalesce("path", F.lit(""))).alias("more"))
+    return tokens.appended(docs, "doc_id", "text", "more")
+
+
 def p8_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.mixture(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "mix_targets"))[0]
 
@@ -128,7 +134,7 @@ def p9_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (p2_found, p2_unmatched, p2_candidates, p4_found, p4_runs, p5_found, p5_distances, p6_found, p6_records, p7_ids, p7_source_tokens, p8_mixture, p8_shares, p8_marginals, p9_found, p9_classes)
+    found = (p2_found, p2_unmatched, p2_candidates, p4_found, p4_runs, p5_found, p5_distances, p6_found, p6_records, p7_ids, p7_source_tokens, p7_appended, p8_mixture, p8_shares, p8_marginals, p9_found, p9_classes)
     return {f.__name__: f for f in found}
 
 

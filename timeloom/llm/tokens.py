@@ -200,8 +200,21 @@ class EncodedText:
     def ids(self) -> list[int]:
         return np.frombuffer(b"".join(map(self.coder.pieces.__getitem__, self.pieces)), "<i4").tolist()
 
+    def size(self) -> int:
+        return sum(len(self.coder.pieces[p]) for p in self.pieces) // 4
+
     def append(self, more: str) -> int:
-        return self.edit(len(self.text), len(self.text), more)
+        """Add ``more``; only what follows the last cut before the end is encoded again, and its number of characters returned."""
+        at, low = len(self.pieces), len(self.text)
+        while at:
+            at -= 1
+            low -= len(self.pieces[at])
+            if low and self.text[low].isspace() and not self.text[low - 1].isspace():
+                break
+        middle = self.text[low:] + more
+        self.pieces[at:] = self.coder.split(middle)
+        self.text += more
+        return len(middle)
 
     def edit(self, begin: int, end: int, new: str) -> int:
         """Replace ``text[begin:end]`` by ``new``; returns the number of characters encoded again."""
@@ -242,6 +255,26 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", vocabulary:
     return out.withColumnRenamed("key", key)
 
 
+def appended(docs: DataFrame, key: str, text: str, more: str, vocabulary: str = VOCABULARY) -> DataFrame:
+    """(key, n_tokens, n_before, again) of every row of ``docs`` once the column ``more`` is appended to ``text``: its tokens then
+    and before, and how many characters had to be encoded again for it. Null is empty."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = encoder(vocabulary)
+        for batch in batches:
+            before, after, again = [], [], []
+            for body, added in zip(batch.column(1), batch.column(2), strict=True):
+                held = EncodedText(coder, body.as_py() or "")
+                before.append(held.size())
+                again.append(held.append(added.as_py() or ""))
+                after.append(held.size())
+            yield pa.record_batch([batch.column(0), *(pa.array(c, pa.int64()) for c in (after, before, again))], ["key", "n_tokens", "n_before", "again"])
+
+    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("body"), F.col(more).alias("more"))
+    out = rows.mapInArrow(run, f"key {docs.schema[key].dataType.simpleString()}, n_tokens bigint, n_before bigint, again bigint")
+    return out.withColumnRenamed("key", key)
+
+
 def with_token_counts(docs: DataFrame, text: str = "text", name: str = "n_tokens", vocabulary: str = VOCABULARY) -> DataFrame:
     """``docs`` without ``text`` but with its number of tokens (0 for null and empty texts)."""
     kept = [c for c in docs.columns if c != text]
