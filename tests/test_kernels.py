@@ -110,3 +110,17 @@ def test_frames_that_stand_for_screens(spark):
     full = {r.frame_id: r for r in images.full_frames(frames, "image").collect()}
     assert np.array_equal(pixels.decode(bytes(full["f2"].content)), image + 2) and len(full["f2"].sha256) == 64 and full["none"].content is None
     assert [tuple(r.s) if r.s else None for r in frames.orderBy("frame_id").select(images.sizes(frames.image).alias("s")).collect()] == [(8, 6)] * 3 + [None]
+
+
+def test_lightness_is_equalised_and_colours_stay():
+    rng = np.random.default_rng(6)
+    image = rng.integers(0, 256, (40, 60, 3)).astype(np.uint8)
+    assert np.abs(pixels.from_lab(pixels.to_lab(image)).astype(int) - image).max() <= 1
+    assert np.allclose(pixels.to_lab(np.array([[[255, 255, 255], [0, 0, 0], [255, 0, 0]]], np.uint8))[0], [[100, 0, 0], [0, 0, 0], [53.24, 80.09, 67.2]], atol=0.05)
+    dull = (90 + image / 8).astype(np.uint8)
+    clear = pixels.equalise(dull, 40.0, 2)
+    before, after = pixels.to_lab(dull), pixels.to_lab(clear)
+    assert after[..., 0].std() > 2 * before[..., 0].std() and np.abs(after[..., 1:] - before[..., 1:]).mean() < 2
+    level = np.clip(np.rint(before[..., 0] * 2.55), 0, 255).astype(np.uint8)
+    inside = (clear > 0).all(axis=-1) & (clear < 255).all(axis=-1)
+    assert np.abs(after[..., 0] * 2.55 - pixels.equalise(level, 40.0, 2))[inside].mean() < 2

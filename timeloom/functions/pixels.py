@@ -213,9 +213,38 @@ def suppress_glare(image: Image, amount: float, sigma_share: float = 0.08) -> Im
     return np.clip(np.rint(image * (gain[..., None] if image.ndim == 3 else gain)), 0, 255).astype(np.uint8)
 
 
+# Linear sRGB to XYZ, and the white it is relative to.
+_XYZ = np.array([[0.4124564, 0.3575761, 0.1804375], [0.2126729, 0.7151522, 0.0721750], [0.0193339, 0.1191920, 0.9503041]])
+_WHITE = _XYZ.sum(axis=1)
+
+
+def to_lab(image: Image) -> np.ndarray:
+    """Lightness (0 to 100) and two colour axes of a red-green-blue image."""
+    c = image.astype(float) / 255
+    linear = np.where(c <= 0.04045, c / 12.92, ((c + 0.055) / 1.055) ** 2.4)
+    t = linear @ _XYZ.T / _WHITE
+    f = np.where(t > (6 / 29) ** 3, np.cbrt(t), t / (3 * (6 / 29) ** 2) + 4 / 29)
+    return np.stack([116 * f[..., 1] - 16, 500 * (f[..., 0] - f[..., 1]), 200 * (f[..., 1] - f[..., 2])], axis=-1)
+
+
+def from_lab(lab: np.ndarray) -> Image:
+    y = (lab[..., 0] + 16) / 116
+    f = np.stack([y + lab[..., 1] / 500, y, y - lab[..., 2] / 200], axis=-1)
+    t = np.where(f > 6 / 29, f**3, 3 * (6 / 29) ** 2 * (f - 4 / 29)) * _WHITE
+    linear = np.clip(t @ np.linalg.inv(_XYZ).T, 0, 1)
+    c = np.where(linear <= 0.0031308, 12.92 * linear, 1.055 * linear ** (1 / 2.4) - 0.055)
+    return np.clip(np.rint(c * 255), 0, 255).astype(np.uint8)
+
+
 def equalise(image: Image, clip: float = 2.0, tiles: int = 8) -> Image:
-    """Contrast-limited histogram equalisation of grey tiles, blended between tile centres."""
-    g = gray(image)
+    """Contrast-limited histogram equalisation of tiles, blended between tile centres: of grey values, or of the lightness of a
+    coloured image, whose colours stay."""
+    if image.ndim == 3:
+        lab = to_lab(image)
+        level = np.clip(np.rint(lab[..., 0] * 2.55), 0, 255).astype(np.uint8)
+        lab[..., 0] = equalise(level, clip, tiles) / 2.55
+        return from_lab(lab)
+    g = image
     height, width = g.shape
     ys, xs = np.linspace(0, height, tiles + 1).astype(int), np.linspace(0, width, tiles + 1).astype(int)
     tables = np.empty((tiles, tiles, 256))
@@ -234,9 +263,7 @@ def equalise(image: Image, clip: float = 2.0, tiles: int = 8) -> Image:
     wy, wx = (y - y0)[:, None], (x - x0)[None, :]
     look = lambda a, b: tables[a[:, None], b[None, :], g]
     out = (look(y0, x0) * (1 - wx) + look(y0, x1) * wx) * (1 - wy) + (look(y1, x0) * (1 - wx) + look(y1, x1) * wx) * wy
-    if image.ndim == 2:
-        return np.rint(out).astype(np.uint8)
-    return np.clip(np.rint(image * (out / np.maximum(g, 1))[..., None]), 0, 255).astype(np.uint8)
+    return np.rint(out).astype(np.uint8)
 
 
 def homography(source: np.ndarray, target: np.ndarray) -> np.ndarray:
