@@ -69,3 +69,26 @@ def test_topics_part_texts_by_what_they_say(spark):
     again = topics.fitted(docs.repartition(2), "doc_id", "text", 3, 60)
     assert np.array_equal(found.centres, again.centres)
     assert topics.fitted(docs.limit(0), "doc_id", "text", 3, 60).of(ids("word")) == -1
+
+
+def test_topics_are_found_on_all_texts_by_a_table_as_on_the_driver(spark):
+    rng = random.Random(8)
+    words = "def return import class self however therefore because although select where group having join".split()
+    rows = [(i, " ".join(rng.choices(words[i % 5 :: 5] + words[:2], k=rng.randint(1, 40)))) for i in range(2500)] + [(9000, None), (9001, "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    found = topics.fitted(docs, "doc_id", "text", 4, seed=3)
+    as_table = topics.fitted(docs.repartition(3), "doc_id", "text", 4, few=1, seed=3)
+    assert np.array_equal(found.mean, as_table.mean) and np.array_equal(found.centres, as_table.centres) and len(found.centres) == 4
+    coder = tokens.encoder(tokens.VOCABULARY)
+    vectors = []
+    for _, t in rows[:2500]:
+        ids = np.array(coder.ids(t), np.int32)
+        vectors.append(np.sqrt(np.bincount((ids.astype(np.uint32) * np.uint32(2_654_435_761)) >> np.uint32(23), minlength=512) / len(ids)))
+    mean = np.mean(vectors, axis=0)
+    assert np.allclose(found.mean / np.linalg.norm(found.mean), mean / np.linalg.norm(mean), atol=5e-5)
+    away = np.array(vectors) - mean
+    away /= np.linalg.norm(away, axis=1, keepdims=True)
+    centres = found.centres / np.linalg.norm(found.centres, axis=1, keepdims=True)
+    nearest = (away @ centres.T).argmax(axis=1)
+    means = np.array([away[nearest == k].sum(axis=0) for k in range(4)])
+    assert np.allclose(centres, means / np.linalg.norm(means, axis=1, keepdims=True), atol=1e-3)  # of all texts, none left out

@@ -7,7 +7,7 @@ documents; documents are then drawn systematically along (source, size, seeded h
 rounded-down or rounded-up number of times. What a source then has too little or too much is closed by single uses of
 documents no larger than what is missing, never beyond the cap.
 
-The topic is a column or expression of the caller's, or found from the texts (:mod:`timeloom.llm.topics`). The total is the
+The topic is a column or expression of the caller's, or found from all texts (:mod:`timeloom.llm.topics`). The total is the
 largest at which every source that occurs can have its share under its cap. A source of the targets without tokens keeps
 share 0 and the others share the whole in proportion; the report shows both, and :func:`marginals` what languages and
 topics reached. Up to ``few`` cells are raked on the driver, more of them as a table by the same steps.
@@ -36,7 +36,7 @@ from timeloom.session import materialise
 FEW = 100_000  # cells raked on the driver
 ROUNDS = 200
 UNIT = 1 << 24  # uses are summed as whole multiples of 1 / UNIT, so that sums are exact in any order
-TOPICS, SAMPLE = 8, 1_000  # clusters of texts, and how many texts they are found on
+TOPICS = 8  # clusters of texts
 SLOTS = 16  # documents of each size class that may close what a source is off its share
 CELL = ["source", "lang", "topic"]
 
@@ -138,23 +138,43 @@ def rake_table(cells: DataFrame, plan: dict[str, tuple[float, float]], rounds: i
     return state.select(*CELL, F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(0.0).alias("uses"))
 
 
-def _counted(docs: DataFrame, vocabulary: str, found: topics_of.Topics | None) -> DataFrame:
-    """(id, source, lang, topic, n_tokens) of (id, source, lang, topic, body): every text is read once."""
+def _counted(docs: DataFrame, vocabulary: str, vectors: bool) -> DataFrame:
+    """(id, source, lang, topic, n_tokens) of (id, source, lang, topic, body), and with ``vectors`` what topics are found by:
+    every text is read once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(vocabulary)
         for batch in batches:
-            counts, said = [], []
+            counts, seen, ids, held = [], [], [], 0
             for body in batch.column(4):
                 text = body.as_py()
-                ids = coder.packed(text) if text else b""
-                counts.append(len(ids) // 4)
-                if found is not None:
-                    said.append(str(found.of(np.frombuffer(ids, "<i4"))))
-            topic = batch.column(3) if found is None else pa.array(said, pa.string())
-            yield pa.record_batch([*batch.columns[:3], topic, pa.array(counts, pa.int64())], ["id", *CELL, "n_tokens"])
+                ids.append(coder.packed(text) if text else b"")
+                counts.append(len(ids[-1]) // 4)
+                held += counts[-1]
+                if len(ids) == topics_of.ROWS or held >= topics_of.IDS:
+                    if vectors:
+                        seen.append(topics_of.packed(ids))
+                    ids, held = [], 0
+            more = {topics_of.SEEN: pa.concat_arrays([*seen, topics_of.packed(ids)])} if vectors else {}
+            yield pa.record_batch([*batch.columns[:4], pa.array(counts, pa.int64()), *more.values()], ["id", *CELL, "n_tokens", *more])
 
-    return docs.mapInArrow(run, f"id {docs.schema['id'].dataType.simpleString()}, source string, lang string, topic string, n_tokens bigint")
+    return docs.mapInArrow(run, _counted_schema(docs) + (f", {topics_of.SEEN} binary" if vectors else ""))
+
+
+def _counted_schema(docs: DataFrame) -> str:
+    return f"id {docs.schema['id'].dataType.simpleString()}, source string, lang string, topic string, n_tokens bigint"
+
+
+def _with_topics(counted: DataFrame, topics: int, seed: int) -> DataFrame:
+    """``counted`` with the topics found on all of its texts, without the vectors."""
+    found = topics_of.fit(topics_of.hashed(counted, "id", seed), topics)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            said = pa.array(found.given(batch.column(5))).cast(pa.string())
+            yield pa.record_batch([*batch.columns[:3], said, batch.column(4)], ["id", *CELL, "n_tokens"])
+
+    return counted.mapInArrow(run, _counted_schema(counted))
 
 
 NEAR, TRIES = 0.001, 8  # how near to its goal a source is left as it is, and how often others are tried to bring nearer
@@ -205,7 +225,7 @@ def _reached(drawn: DataFrame, goals: Goals) -> list[tuple[str, float, int]]:
 
 def mixture_with_marginals(
     docs: DataFrame, targets: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", lang: str = "lang",
-    topic: Column | str | None = None, vocabulary: str = VOCABULARY, seed: int = 0, topics: int = TOPICS, sample: int = SAMPLE, few: int = FEW,
+    topic: Column | str | None = None, vocabulary: str = VOCABULARY, seed: int = 0, topics: int = TOPICS, few: int = FEW,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(mixture, report, marginals). mixture: key, source, repeats, n_tokens of every document used at least once; report: one row
     per source of ``targets`` with target and reached share, tokens and documents; marginals: kind (source, lang, topic),
@@ -217,10 +237,11 @@ def mixture_with_marginals(
     )
     plan = {r.source: (r.target_share, float(r.max_repeats)) for r in wanted.collect()}  # the targets are a parameter list
     eligible = docs.filter(F.col(source).isin(list(plan)) & (F.length(text) > 0)) if plan else docs.limit(0)
-    found = topics_of.fitted(docs.filter(F.col(source).isin(list(plan))) if plan else docs.limit(0), key, text, topics, sample, seed, vocabulary) if topic is None else None
     said = F.lit("") if topic is None else F.coalesce((F.col(topic) if isinstance(topic, str) else topic).cast("string"), F.lit(""))
     rows = eligible.select(F.col(key).alias("id"), F.col(source).alias("source"), F.coalesce(F.col(lang), F.lit("")).alias("lang"), said.alias("topic"), F.col(text).alias("body"))
-    counted = materialise(_counted(rows, vocabulary, found).filter("n_tokens > 0"))
+    counted = materialise(_counted(rows, vocabulary, topic is None).filter("n_tokens > 0"))
+    if topic is None:
+        counted = materialise(_with_topics(counted, topics, seed))
     cells = counted.groupBy(*CELL).agg(F.sum("n_tokens").alias("tokens"))
     head = cells.limit(few + 1).toPandas()
     if len(head) <= few:
